@@ -78,6 +78,11 @@ def hash_unit(*keys: Column) -> Column:
     return F.conv(digest, 16, 10).cast("double") / F.lit(4294967295.0)
 
 
+def pick_unit(key: Column, purpose: str) -> Column:
+    """The unit a weighted pick uses: its hashed text is the pair written as ('key', 'purpose')."""
+    return hash_unit(F.concat(F.lit("('"), key.cast("string"), F.lit(f"', '{purpose}')")))
+
+
 def weighted_pick(unit: Column, weights: dict) -> Column:
     """First key whose running weight reaches unit * total, in declared order."""
     total, running, choice = sum(weights.values()), 0.0, None

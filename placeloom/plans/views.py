@@ -134,6 +134,33 @@ SELECT event_id, ts, user_id AS sender, user_id % 20 AS room, user_id,
   (user_id * 7 + 1) % 150 AS target, value AS amount, props
 FROM events"""
 
+VIEWS["f_features"] = """
+SELECT o_orderkey DIV 600 AS place_id, o_orderkey AS f_id,
+  CASE o_orderkey % 9 WHEN 0 THEN 'node' WHEN 1 THEN 'relation' ELSE 'way' END AS etype,
+  CASE o_orderkey % 11 WHEN 0 THEN 'grass' WHEN 1 THEN 'forest' WHEN 2 THEN 'farmland' WHEN 3 THEN 'cemetery' WHEN 4 THEN 'reservoir'
+    WHEN 5 THEN 'brownfield' WHEN 6 THEN 'meadow' END AS landuse,
+  CASE o_orderkey % 13 WHEN 0 THEN 'water' WHEN 1 THEN 'beach' WHEN 2 THEN 'wood' WHEN 3 THEN 'wetland' WHEN 4 THEN 'coastline'
+    WHEN 5 THEN 'scrub' END AS nature,
+  CASE o_orderkey % 7 WHEN 0 THEN 'park' WHEN 1 THEN 'pitch' WHEN 2 THEN 'playground' END AS leisure,
+  CASE o_orderkey % 17 WHEN 0 THEN 'river' WHEN 1 THEN 'canal' WHEN 2 THEN 'stream' WHEN 3 THEN 'ditch' WHEN 4 THEN 'drain'
+    WHEN 5 THEN 'riverbank' END AS waterway,
+  CASE o_orderkey % 19 WHEN 0 THEN 'city_wall' WHEN 1 THEN 'wall' WHEN 2 THEN 'hedge' WHEN 3 THEN 'retaining_wall' WHEN 4 THEN 'fence' END AS barrier,
+  CASE o_orderkey % 23 WHEN 0 THEN 'citywalls' WHEN 1 THEN 'castle' END AS historic,
+  CASE o_orderkey % 29 WHEN 0 THEN 'pier' WHEN 1 THEN 'bridge' END AS man_made,
+  CASE o_orderkey % 31 WHEN 0 THEN 'parking' WHEN 1 THEN 'grave_yard' WHEN 2 THEN 'marketplace' WHEN 3 THEN 'bench' END AS amenity,
+  CASE WHEN o_orderkey % 62 = 0 THEN 'underground' END AS parking,
+  CASE o_orderkey % 37 WHEN 0 THEN 'rail' WHEN 1 THEN 'platform' WHEN 2 THEN 'tram' END AS railway,
+  CASE WHEN o_orderkey % 41 = 0 THEN 'square' END AS place,
+  CASE o_orderkey % 43 WHEN 0 THEN 'residential' WHEN 1 THEN 'footway' END AS area_highway,
+  CASE o_orderkey % 47 WHEN 0 THEN 'service' WHEN 1 THEN 'pedestrian' WHEN 2 THEN 'primary' END AS highway,
+  CASE WHEN o_orderkey % 47 < 2 THEN 'yes' END AS area,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'sett' END AS surface,
+  CASE WHEN o_orderkey % 53 = 0 THEN 'culvert' END AS tunnel, CASE WHEN o_orderkey % 59 = 0 THEN '-1' END AS layer,
+  CASE WHEN o_orderkey % 5 = 0 THEN '2,5 m' END AS width, CASE WHEN o_orderkey % 6 = 0 THEN '3 m' END AS height,
+  CASE o_orderkey % 61 WHEN 0 THEN 'Google Street View' WHEN 1 THEN 'survey 2020' END AS source,
+  CASE WHEN o_orderkey % 67 = 0 THEN 'GSV image' END AS source_name
+FROM orders"""
+
 _DEPENDS = {name: [v for v in re.findall(r"\bf_[a-z_]+\b", text) if v != name] for name, text in VIEWS.items()}
 
 
@@ -204,6 +231,18 @@ class Tables:
                  .otherwise(F.array(box, ring((1, 1), (1, 3), (3, 3), (3, 1)))))
         return self.f_buildings.withColumn("rings", rings)
 
+    @property
+    def lines(self) -> DataFrame:
+        """Ways as one row with `pts ARRAY<STRUCT<x,y>>` and `nodes ARRAY<BIGINT>`, as an extract holds them."""
+        packed = self.f_vertices.groupBy("place_id", "way_id").agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y", "node_id"))).alias("v"))
+        return packed.select("place_id", "way_id", F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pts"),
+                             F.transform("v", lambda p: p["node_id"]).alias("nodes"))
+
+    @property
+    def areas(self) -> DataFrame:
+        corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+        return self.f_areas.withColumn("rings", F.array(F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))))
+
     @property
     def way_tags(self) -> DataFrame:
         """Ways with their tags as one MAP, as an extract holds them."""
@@ -212,6 +251,13 @@ class Tables:
         pairs = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(k) for k in keys]))
         return self.f_ways.select("place_id", "way_id", "has_nodes", F.map_filter(pairs, lambda k, v: v.isNotNull()).alias("tags"))
 
+    @property
+    def feature_tags(self) -> DataFrame:
+        names = {c: c for c in self.f_features.columns if c not in ("place_id", "f_id", "etype")}
+        names.update(nature="natural", area_highway="area:highway", source_name="source:name")
+        pairs = F.map_from_arrays(F.array(*[F.lit(k) for k in names.values()]), F.array(*[F.col(c) for c in names]))
+        return self.f_features.select("place_id", "f_id", "etype", F.map_filter(pairs, lambda k, v: v.isNotNull()).alias("tags"))
+
     @property
     def building_tags(self) -> DataFrame:
         names = {"building": "building", "building_part": "building:part", "levels_tag": "building:levels", "height_tag": "height",
