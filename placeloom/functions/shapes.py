@@ -4,7 +4,21 @@ A ring is ARRAY<STRUCT<x,y>> without a closing point, a polygon `rings` is ARRAY
 ARRAY<STRUCT<x,y>>. Everything works inside one row, so nothing here shuffles. Units are the caller's."""
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def unnest(df: DataFrame, array: Column, out: str, pos: str | None = None) -> DataFrame:
+    """One row per element. The outer form keeps the optimizer from adding size(array) > 0 below the projections that
+    build the array, which would evaluate (and inline) those expressions twice."""
+    rows = df.select("*", F.posexplode_outer(array).alias(pos, out)) if pos else df.select("*", F.explode_outer(array).alias(out))
+    return rows.filter(F.col(out).isNotNull())
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated exactly once per row. A plain projection would be inlined into every filter and
+    join key built on it (an edge-array fold is long); a one-row generator is a barrier the optimizer keeps."""
+    made = F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*[c for c in df.columns if c not in columns], made)
 
 
 def clamp(v: Column, lo, hi) -> Column:

@@ -15,7 +15,7 @@ Box = list[Column]
 
 def to_cells(df: DataFrame, box: Box, cell: float) -> DataFrame:
     rows = df.withColumns({"_x0": box[0], "_y0": box[1]})
-    return rows.withColumn("_c", F.explode(sh.cells_of_box(*box, cell))).select("*", F.col("_c.ci").alias("_ci"), F.col("_c.cj").alias("_cj")).drop("_c")
+    return sh.unnest(rows, sh.cells_of_box(*box, cell), "_c").select("*", F.col("_c.ci").alias("_ci"), F.col("_c.cj").alias("_cj")).drop("_c")
 
 
 def _spread(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -77,7 +77,7 @@ def segment_box(p: str = "") -> Box:
 def with_edges(polygons: DataFrame, rings: str = "rings", out: str = "edges") -> DataFrame:
     """Polygon rows with their edge array and box (bx0..by1), the form the joins below take."""
     box = sh.bounds(F.get(rings, F.lit(0)))
-    return polygons.withColumns({out: sh.polygon_edges(F.col(rings)), "bx0": box[0], "by0": box[1], "bx1": box[2], "by1": box[3]}).drop(rings)
+    return sh.once(polygons, **{out: sh.polygon_edges(F.col(rings)), "bx0": box[0], "by0": box[1], "bx1": box[2], "by1": box[3]}).drop(rings)
 
 
 def polygon_box() -> Box:
@@ -163,7 +163,7 @@ def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int
                               lambda j: F.struct(lv.alias("lv"), i.alias("ci"), j.alias("cj")))))))
     # Only levels and cells some point asks for are kept, so the coarse levels cost nothing where points resolve low.
     asked = probes.select(*keys, "_lv", "_ci", "_cj").distinct()
-    spread = (targets.withColumn("_s", F.explode(spans)).select("*", F.col("_s.lv").alias("_lv"), F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj")).drop("_s")
+    spread = (sh.unnest(targets, spans, "_s").select("*", F.col("_s.lv").alias("_lv"), F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj")).drop("_s")
               .join(asked, [*keys, "_lv", "_ci", "_cj"], "left_semi"))
     return probes.join(spread, [*keys, "_lv", "_ci", "_cj"]).drop("_lv", "_ci", "_cj")
 
