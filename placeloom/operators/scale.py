@@ -26,6 +26,25 @@ def running_sum(df: DataFrame, keys: list[str], seq: str, value: Column, out: st
     return result.drop("_v", "_b", "_r", "_o")
 
 
+def running_min(df: DataFrame, keys: list[str], seq: str, value: Column, out: str, bucket: int = 4096) -> DataFrame:
+    """Running minimum in the same two levels."""
+    rows = df.withColumn("_v", value).withColumn("_b", F.floor(F.col(seq) / bucket))
+    inner = W.partitionBy(*keys, "_b").orderBy(seq).rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    lows = rows.groupBy(*keys, "_b").agg(F.min("_v").alias("_t")).select(*keys, "_b", F.min("_t").over(ahead).alias("_o"))
+    joined = rows.withColumn("_r", F.min("_v").over(inner)).join(lows, [*keys, "_b"])
+    return joined.withColumn(out, F.least("_r", "_o")).drop("_v", "_b", "_r", "_o")
+
+
+def trailing_max(df: DataFrame, keys: list[str], seq: str, value: str, n: int, out: str, bucket: int = 4096) -> DataFrame:
+    """Maximum over the last n rows of a dense `seq`: buckets overlap by n - 1 rows, so each window stays in its bucket."""
+    own = F.floor(F.col(seq) / bucket)
+    halo = F.when(F.pmod(F.col(seq), F.lit(bucket)) >= bucket - (n - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    spread = df.withColumn("_b", F.explode(halo))
+    w = W.partitionBy(*keys, "_b").orderBy(seq).rowsBetween(-(n - 1), 0)
+    return spread.withColumn(out, F.max(value).over(w)).filter(F.col("_b") == own).drop("_b")
+
+
 def with_next(df: DataFrame, keys: list[str], seq: str, values: list[str], gap: int = 1) -> DataFrame:
     """Each row with the values of the row at seq + gap (as next_*), by one aggregation on (keys, seq): every row is
     sent to its own position and to the one before it. Rows without a next one are left out. `seq` is dense."""
