@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.functions import shapes as sh
+from placeloom.session import cut_lineage
 
 Box = list[Column]
 
@@ -319,9 +320,9 @@ def recovery_candidates(cars: DataFrame, nodes: DataFrame, segments: DataFrame,
     d2 = (F.col("nx") - F.col("x")) * (F.col("nx") - F.col("x")) + (F.col("ny") - F.col("y")) * (F.col("ny") - F.col("y"))
     box = [F.col("nx"), F.col("ny"), F.col("nx"), F.col("ny")]
     # The street of a node does not depend on the car: resolve it once per node.
-    street = nearest_join(nodes, segments, ["place_id", "node_id"], ["line_id", "seq"], cell, x="nx", y="ny", max_distance=off_street).filter(F.col("width") >= width)
+    street = cut_lineage(nearest_join(nodes, segments, ["place_id", "node_id"], ["line_id", "seq"], cell, x="nx", y="ny", max_distance=off_street).filter(F.col("width") >= width))
     free = near_polygon_join(street.select("place_id", "node_id", "nx", "ny", "px", "py", "x1", "y1", "x2", "y2"), obstacles, clearance, cell, "left_anti", ["place_id", "node_id"], x="px", y="py")
-    pairs = binned_join(cars, free.withColumnsRenamed({}), grow(point_box(), far), box, cell, (d2 >= near * near) & (d2 <= far * far)).withColumn("dist", F.sqrt(d2))
+    pairs = binned_join(cars, free, grow(point_box(), far), box, cell, (d2 >= near * near) & (d2 <= far * far)).withColumn("dist", F.sqrt(d2))
     forward = F.atan2(-(F.col("x2") - F.col("x1")), -(F.col("y2") - F.col("y1")))
     both = pairs.withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("h", forward + F.col("turn") * F.lit(3.141592653589793))
     diff = F.atan2(F.sin(F.col("h") - F.col("heading")), F.cos(F.col("h") - F.col("heading")))

@@ -1,5 +1,5 @@
 """Every registered query."""
 from placeloom.plans import registry
-from placeloom.plans import q_aggregate, q_classify, q_derive, q_geometry, q_joins, q_resolve  # noqa: F401  (importing a module registers its queries)
+from placeloom.plans import q_aggregate, q_classify, q_derive, q_geometry, q_joins, q_raster, q_resolve  # noqa: F401  (importing a module registers its queries)
 
 QUERIES, ORACLES = registry.QUERIES, registry.ORACLES

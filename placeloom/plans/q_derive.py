@@ -88,10 +88,10 @@ def _(t):
 
 @query("to_engine_axes", """SELECT pt_id, CAST(floor(x / 100 / 0.28::DOUBLE * 1000 + 0.5) AS BIGINT) AS ex,
   CAST(floor(priority / 0.28::DOUBLE * 1000 + 0.5) AS BIGINT) AS ey, CAST(floor(-y / 100 / 0.28::DOUBLE * 1000 + 0.5) AS BIGINT) AS ez,
-  CAST(floor(x + 0.5) AS BIGINT) AS back_x_cm FROM f_points WHERE pt_id % 7 <> 0""")
+  CAST(floor(x + 0.5) AS BIGINT) AS back_x_cm FROM f_points WHERE kind <> 'FURNITURE'""")
 def _(t):
     pts = t.f_points.select("pt_id", (F.col("x") / 100).alias("x_m"), (F.col("y") / 100).alias("y_m"),
-                            F.when(F.col("pt_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("priority")).alias("z_m"))
+                            F.when(F.col("kind") == "FURNITURE", F.lit(float("nan"))).otherwise(F.col("priority")).alias("z_m"))
     out = derive.to_engine_axes(pts)
     back = derive.from_engine_axes(out)
     return back.select("pt_id", *[fn.half_up(F.col(c) * 1000).alias(c) for c in ("ex", "ey", "ez")],

@@ -70,9 +70,9 @@ def _(t):
     return joins.parts_in_outlines(parts, buildings(t), CHUNK, 50.0).select("part_id", "b_id")
 
 
-@query("volumes_in_outlines", f"""SELECT v.b_id, a.a_id FROM f_bstat v LEFT JOIN f_areas a ON v.place_id = a.place_id AND {IN_AREA.format(x='v.cx', y='v.cy')} WHERE v.b_id % 3 <> 0""")
+@query("volumes_in_outlines", f"""SELECT v.b_id, a.a_id FROM f_bstat v LEFT JOIN f_areas a ON v.place_id = a.place_id AND {IN_AREA.format(x='v.cx', y='v.cy')}""")
 def _(t):
-    v = geo.with_ring_stats(t.polygons.filter("b_id % 3 <> 0").select("place_id", "b_id", "rings")).select("place_id", "b_id", F.col("cx").alias("px"), F.col("cy").alias("py"))
+    v = geo.with_ring_stats(t.polygons.select("place_id", "b_id", "rings")).select("place_id", "b_id", F.col("cx").alias("px"), F.col("cy").alias("py"))
     held, alone = joins.volumes_in_outlines(v, areas(t), CHUNK, "b_id")
     return held.select("b_id", "a_id").unionByName(alone.select("b_id", F.lit(None).cast("bigint").alias("a_id")))
 
