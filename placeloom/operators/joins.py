@@ -162,10 +162,7 @@ def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int
         F.sequence(F.floor(tbox[0] / (F.pow(F.lit(2.0), lv) * cell)).cast("int"), F.floor(tbox[2] / (F.pow(F.lit(2.0), lv) * cell)).cast("int")),
         lambda i: F.transform(F.sequence(F.floor(tbox[1] / (F.pow(F.lit(2.0), lv) * cell)).cast("int"), F.floor(tbox[3] / (F.pow(F.lit(2.0), lv) * cell)).cast("int")),
                               lambda j: F.struct(lv.alias("lv"), i.alias("ci"), j.alias("cj")))))))
-    # Only levels and cells some point asks for are kept, so the coarse levels cost nothing where points resolve low.
-    asked = probes.select(*keys, "_lv", "_ci", "_cj").distinct()
-    spread = (sh.unnest(targets, spans, "_s").select("*", F.col("_s.lv").alias("_lv"), F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj")).drop("_s")
-              .join(asked, [*keys, "_lv", "_ci", "_cj"], "left_semi"))
+    spread = sh.unnest(targets, spans, "_s").select("*", F.col("_s.lv").alias("_lv"), F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj")).drop("_s")
     return probes.join(spread, [*keys, "_lv", "_ci", "_cj"]).drop("_lv", "_ci", "_cj")
 
 
