@@ -112,27 +112,24 @@ def _(t):
 
 
 @query("shortest_paths", f"""WITH RECURSIVE e AS (SELECT place_id, a AS u, b AS v, length FROM {GRAPH} g UNION ALL SELECT place_id, b, a, length FROM {GRAPH} g),
-  s AS (SELECT place_id, arg_min(u, floor(sqrt(pow(u // 1000 - 150, 2) + pow(u % 1000 - 150, 2)) * 1e6) * 1e6 + u) AS v FROM e GROUP BY place_id),
+  s AS (SELECT place_id, arg_min(u, u - 1000000000 * n) AS v FROM (SELECT place_id, u, count(*) AS n FROM e GROUP BY 1, 2) d GROUP BY place_id),
   bf AS (SELECT place_id, v, 0.0::DOUBLE AS dist, 0 AS k FROM s UNION ALL SELECT place_id, v, dist, k FROM (SELECT z.place_id, z.v, min(z.dist) AS dist, z.k FROM (
-    SELECT bf.place_id, e.v, bf.dist + e.length AS dist, bf.k + 1 AS k FROM bf JOIN e ON e.place_id = bf.place_id AND e.u = bf.v WHERE bf.k < 60) z GROUP BY z.place_id, z.v, z.k) q)
+    SELECT bf.place_id, e.v, bf.dist + e.length AS dist, bf.k + 1 AS k FROM bf JOIN e ON e.place_id = bf.place_id AND e.u = bf.v WHERE bf.k < 300) z GROUP BY z.place_id, z.v, z.k) q)
   SELECT place_id, v, {b('min(dist) * 10', 'dist_mm')} FROM bf GROUP BY place_id, v""")
 def _(t):
     g = junction_graph(t)
-    source = routes_source(g, -150)
-    return graph.shortest_paths(g, source).select("place_id", "v", half_up(F.col("dist") * 10).alias("dist_mm"))
+    return graph.shortest_paths(g, hub(g)).select("place_id", "v", half_up(F.col("dist") * 10).alias("dist_mm"))
 
 
-def routes_source(g, corner):
-    """The graph vertex nearest a corner of each place (lattice units; a vertex id holds its position)."""
-    v = g.select("place_id", F.explode(F.array("a", "b")).alias("v")).distinct()
-    dx, dy = F.floor(F.col("v") / 1000) - 200 - (corner + 100 if corner < 0 else corner), F.col("v") % 1000 - 200 - (corner + 100 if corner < 0 else corner)
-    near = F.floor(F.sqrt(dx * dx + dy * dy) * 1e6)
-    return v.groupBy("place_id").agg(F.min_by("v", F.struct(near, "v")).alias("v")).withColumn("route_id", F.lit(0))
+def hub(g):
+    """The best connected vertex of each place (lowest id on a tie) as the source of a route."""
+    degree = g.select("place_id", F.explode(F.array("a", "b")).alias("v")).groupBy("place_id", "v").agg(F.count("*").alias("n"))
+    return degree.groupBy("place_id").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v")).withColumn("route_id", F.lit(0))
 
 
 @query("routes")
 def _(t):
     g = junction_graph(t)
-    paths = graph.shortest_paths(g, routes_source(g, -150))
-    target = routes_source(g, 50)
+    paths = graph.shortest_paths(g, hub(g))
+    target = paths.groupBy("place_id", "route_id").agg(F.max_by("v", F.struct("dist", "v")).alias("v"))
     return graph.routes(paths, target).select("place_id", "v", "hops", half_up(F.col("dist") * 10).alias("dist_mm"))
