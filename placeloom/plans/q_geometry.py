@@ -161,17 +161,20 @@ def _(t):
         "way_id", "span_no", "p.ci", "p.cj", half_up(F.col("p.s0") * 10).alias("s0_mm"), half_up(F.col("p.s1") * 10).alias("s1_mm"))
 
 
-CLIP = 49650.0
+CLIP = 49600.0
 
 
-@query("clip_lines", f"""WITH m AS (SELECT * FROM {MEAS} m),
+CLIPPED = f"""WITH m AS (SELECT * FROM {MEAS} m),
   lb AS (SELECT *, greatest(0, CASE WHEN x1 <> x2 THEN least((-{CLIP} - x1) / (x2 - x1), ({CLIP} - x1) / (x2 - x1)) ELSE 0 END, CASE WHEN y1 <> y2 THEN least((-{CLIP} - y1) / (y2 - y1), ({CLIP} - y1) / (y2 - y1)) ELSE 0 END) AS a,
       least(1, CASE WHEN x1 <> x2 THEN greatest((-{CLIP} - x1) / (x2 - x1), ({CLIP} - x1) / (x2 - x1)) ELSE 1 END, CASE WHEN y1 <> y2 THEN greatest((-{CLIP} - y1) / (y2 - y1), ({CLIP} - y1) / (y2 - y1)) ELSE 1 END) AS b
     FROM m WHERE (x1 <> x2 OR abs(x1) <= {CLIP}) AND (y1 <> y2 OR abs(y1) <= {CLIP})),
   kept AS (SELECT *, (b - a) * len AS l FROM lb WHERE a < b),
   flags AS (SELECT *, CASE WHEN lag(b) OVER w = 1 AND a = 0 AND lag(x2) OVER w = x1 AND lag(y2) OVER w = y1 THEN 0 ELSE 1 END AS f FROM kept WINDOW w AS (PARTITION BY way_id ORDER BY seq)),
   runs AS (SELECT *, sum(f) OVER (PARTITION BY way_id ORDER BY seq) AS run FROM flags)
-  SELECT way_id, CAST(run - 1 AS INTEGER) AS part_no, CAST(count(*) + 1 AS INTEGER) AS vertices, CAST(floor(sum(l) * 10 + 0.5) AS BIGINT) AS length_mm FROM runs GROUP BY way_id, run HAVING sum(l) > 100""")
+  SELECT way_id, CAST(run - 1 AS INTEGER) AS part_no, CAST(count(*) + 1 AS INTEGER) AS vertices, CAST(floor(sum(l) * 10 + 0.5) AS BIGINT) AS length_mm FROM runs GROUP BY way_id, run HAVING sum(l) > 100"""
+
+
+@query("clip_lines", CLIPPED)
 def _(t):
     out = geo.clip_lines(t.lines.select("way_id", "pts"), (-CLIP, -CLIP, CLIP, CLIP), 100.0)
     return out.select("way_id", "part_no", F.size("part").alias("vertices"), half_up(F.col("part_len") * 10).alias("length_mm"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placeloom.functions import catalogs as cat
 from placeloom.functions.scalars import half_up
 from placeloom.operators import geometry as geo
+from placeloom.plans.q_geometry import CLIPPED
 from placeloom.plans.registry import query
 from placeloom.plans.views import CHUNK, HALF
 from placeloom.sources import elements as el, files, sinks
@@ -190,9 +191,11 @@ def _(t):
     return files.run_ledger(log, STEPS).select("place_id", "state", "steps_done")
 
 
-@query("pack_map", f"""SELECT 'area' AS what, a_id AS id, CAST(0 AS INTEGER) AS part, CASE class WHEN 0 THEN 'green' WHEN 1 THEN 'road' ELSE 'path' END AS kind, CAST(4 AS INTEGER) AS vertices, CAST(floor(xmin / 10 + 0.5) + floor(-ymin / 10 + 0.5) AS BIGINT) AS first FROM f_areas WHERE class < 3""")
+@query("pack_map", f"""SELECT 'area' AS what, a_id AS id, CAST(0 AS INTEGER) AS part, CASE class WHEN 0 THEN 'green' WHEN 1 THEN 'road' ELSE 'path' END AS kind, CAST(4 AS INTEGER) AS vertices, CAST(floor(xmin / 10 + 0.5) + floor(-ymin / 10 + 0.5) AS BIGINT) AS first FROM f_areas WHERE class < 3
+  UNION ALL SELECT 'road', c.way_id, c.part_no, w.highway, c.vertices, NULL FROM ({CLIPPED}) c JOIN f_ways w ON w.way_id = c.way_id""")
 def _(t):
     layer = F.when(F.col("class") == 0, "park").when(F.col("class") == 1, "asphalt").when(F.col("class") == 2, "paving")
     lines = t.lines.join(t.f_ways.select("way_id", F.col("highway").alias("kind")), "way_id").select("way_id", "kind", "pts")
     out = el.pack_map(lines, t.areas.select("a_id", layer.alias("layer"), "rings"), HALF, cat.MAP_KINDS)
-    return out.filter("what = 'area'").select("what", "id", "part", "kind", F.size("p").alias("vertices"), half_up((F.get("p", F.lit(0))["x"] + F.get("p", F.lit(0))["z"]) * 10).alias("first"))
+    corner = half_up((F.get("p", F.lit(0))["x"] + F.get("p", F.lit(0))["z"]) * 10)
+    return out.select("what", "id", "part", "kind", F.size("p").alias("vertices"), F.when(F.col("what") == "area", corner).alias("first"))

@@ -14,12 +14,14 @@ def content_ids(df: DataFrame, prefix: str, columns: list[str] | None = None) ->
     return df.withColumn("content_id", F.concat(F.lit(prefix + "-"), F.substring(digest, 1, 12)))
 
 
-def write_features(df: DataFrame, path: str, sort_by: list[str], mode: str = "overwrite") -> None:
-    """Chunked Parquet. Rows are range-partitioned down to the chunk row and then by `sort_by`, so a dense place
-    spreads over many tasks and each file holds few chunks."""
+def write_features(df: DataFrame, path: str, sort_by: list[str], mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    """Parquet clustered by (place, chunk). Rows are range-partitioned on (place, chunk, `sort_by`), so a dense place spreads
+    over many tasks, and sorted, so a reader prunes files and row groups by their minima and maxima. Folders per chunk would
+    be millions of small files; `partition_by` adds coarse ones (a region, a bucket of places) where a catalogue wants them."""
     keys = ["place_id", "chunk_i", "chunk_j"]
-    (df.repartitionByRange(*keys, *sort_by).sortWithinPartitions(*keys, *sort_by)
-     .write.mode(mode).partitionBy(*keys).parquet(path))
+    rows = df.repartitionByRange(*keys, *sort_by).sortWithinPartitions(*(partition_by or []), *keys, *sort_by)
+    writer = rows.write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_canonical(df: DataFrame, path: str, id_column: str, mode: str = "overwrite") -> None:
