@@ -8,6 +8,7 @@ from placeloom.operators import geometry as geo
 from placeloom.operators.graph import connected_components
 from placeloom.operators.scale import with_next
 from placeloom.operators.select import diff_datasets
+from placeloom.session import cut_lineage
 
 # A contract is rows of (path, rule, argument): type-free rules over columns of a table.
 Rule = tuple[str, str, object]
@@ -46,10 +47,11 @@ def duplicate_ids(features: DataFrame, key: list[str]) -> DataFrame:
 def check_spans(lines: DataFrame, spans: DataFrame, cell: float, world) -> DataFrame:
     """Faults of spans (way_id, span_no dense, ci, cj, s0, s1): empty, out of order, midpoint in another chunk, or spans that do not
     add up to the line's length inside the bounds."""
+    spans = cut_lineage(spans)     # four checks read it
     order = with_next(spans.select("way_id", "span_no", "s0", "s1"), ["way_id"], "span_no", ["s0", "s1"])
     faults = spans.filter("s0 >= s1").select("way_id", F.lit("empty").alias("fault")).unionByName(order.filter(F.col("next_s0") < F.col("s1") - 1e-9).select("way_id", F.lit("order").alias("fault")))
-    measured = lines.select("way_id", sh.measured_edges(F.col("pts")).alias("_e"), geo.sh.line_length(F.col("pts")).alias("_len"))
-    at = sh.once(spans.join(measured, "way_id"), m=sh.point_at(F.col("_e"), (F.col("s0") + F.col("s1")) / 2))
+    measured = lines.select("way_id", sh.measured_edges(F.col("pts")).alias("_e"), sh.line_length(F.col("pts")).alias("_len"))
+    at = sh.once(spans.filter("s0 < s1").join(measured, "way_id"), m=sh.point_at(F.col("_e"), (F.col("s0") + F.col("s1")) / 2))
     # A span of one straight run: its middle lies in its own chunk (a bent span is cut at its vertices first).
     bent = F.size(geo.cut_edges(F.col("_e"), F.col("s0"), F.col("s1"))) > 1
     away = ~bent & ((F.floor(F.col("m.x") / cell) != F.col("ci")) | (F.floor(F.col("m.y") / cell) != F.col("cj")))

@@ -169,7 +169,8 @@ def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int
 def nearest_join(points: DataFrame, segments: DataFrame, pid: list[str], sid: list[str], cell: float, levels: int = 8, keys: list[str] | None = None,
                  x: str = "x", y: str = "y", max_distance: float | None = None) -> DataFrame:
     """Each point with its nearest segment (lowest `sid` on a tie): the segment's columns, t, px, py, d2. A point further
-    than `max_distance` (or in a place without segments) has no row. Columns of the sides must differ except `keys`."""
+    than `max_distance` (or in a place without segments) has no row. Columns of the sides must differ except `keys`.
+    `cell` is the finest bin, best about the usual distance; `levels` doublings of it must span a place."""
     keys = ["place_id"] if keys is None else keys
     cols = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
     cand = knn_candidates(points, segments, pid, 1, cell, levels, keys, x, y, (F.col("x1"), F.col("y1")), segment_box())
@@ -317,7 +318,7 @@ def recovery_candidates(cars: DataFrame, nodes: DataFrame, segments: DataFrame,
     d2 = (F.col("nx") - F.col("x")) * (F.col("nx") - F.col("x")) + (F.col("ny") - F.col("y")) * (F.col("ny") - F.col("y"))
     box = [F.col("nx"), F.col("ny"), F.col("nx"), F.col("ny")]
     # The street of a node does not depend on the car: resolve it once per node.
-    street = cut_lineage(nearest_join(nodes, segments, ["place_id", "node_id"], ["line_id", "seq"], cell, x="nx", y="ny", max_distance=off_street).filter(F.col("width") >= width))
+    street = cut_lineage(nearest_join(nodes, segments, ["place_id", "node_id"], ["line_id", "seq"], fine or cell, x="nx", y="ny", max_distance=off_street).filter(F.col("width") >= width))
     free = near_polygon_join(street.select("place_id", "node_id", "nx", "ny", "px", "py", "x1", "y1", "x2", "y2"), obstacles, clearance, cell, "left_anti", ["place_id", "node_id"], x="px", y="py")
     pairs = binned_join(cars, free, grow(point_box(), far), box, cell, (d2 >= near * near) & (d2 <= far * far)).withColumn("dist", F.sqrt(d2))
     forward = F.atan2(-(F.col("x2") - F.col("x1")), -(F.col("y2") - F.col("y1")))

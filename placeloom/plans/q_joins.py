@@ -90,7 +90,7 @@ NEAREST = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pt_id ORD
 
 @query("nearest_join", f"""SELECT pt_id, line_id, seq, CAST(floor(t * 1000 + 0.25) AS BIGINT) AS t_e3, CAST(floor(sqrt(d2) * 10 + 0.5) AS BIGINT) AS d_mm FROM ({NEAREST}) n WHERE d2 <= 45000.0 * 45000""")
 def _(t):
-    out = joins.nearest_join(t.f_points.select("place_id", "pt_id", "x", "y"), roads(t), ["place_id", "pt_id"], ["line_id", "seq"], 2000.0, max_distance=45000.0)
+    out = joins.nearest_join(t.f_points.select("place_id", "pt_id", "x", "y"), roads(t), ["place_id", "pt_id"], ["line_id", "seq"], 500.0, max_distance=45000.0)
     return out.select("pt_id", "line_id", "seq", F.floor(F.col("t") * 1000 + 0.25).cast("bigint").alias("t_e3"), half_up(F.sqrt("d2") * 10).alias("d_mm"))
 
 
@@ -169,7 +169,7 @@ def _(t):
   LEFT JOIN (SELECT DISTINCT p.pt_id FROM f_points p JOIN f_areas a ON p.place_id = a.place_id AND a.class < 8 AND {IN_AREA.format(x='p.x', y='p.y')}) l ON l.pt_id = p.pt_id
   LEFT JOIN ({NEAREST}) n ON n.pt_id = p.pt_id""")
 def _(t):
-    return joins.on_land(t.f_points.select("place_id", "pt_id", "x", "y"), areas(t, "class < 8").drop("class"), roads(t), ["pt_id"], 2000.0, 180.0).select("pt_id", "on_land")
+    return joins.on_land(t.f_points.select("place_id", "pt_id", "x", "y"), areas(t, "class < 8").drop("class"), roads(t), ["pt_id"], 500.0, 180.0).select("pt_id", "on_land")
 
 
 VIEWS_SQL = f"""SELECT b_id, line_id, seq, px, py, cx, cy, d2, top, greatest(0, least(4000, top * 1.4::DOUBLE) - sqrt(d2)) AS back FROM (
@@ -182,7 +182,7 @@ VIEWS_SQL = f"""SELECT b_id, line_id, seq, px, py, cx, cy, d2, top, greatest(0,
   SELECT *, degrees(atan2(cx - px, cy - py)) AS d, px - (cx - px) / CASE WHEN d2 = 0 THEN 1 ELSE sqrt(d2) END * back AS cam_x, py - (cy - py) / CASE WHEN d2 = 0 THEN 1 ELSE sqrt(d2) END * back AS cam_y FROM ({VIEWS_SQL}) v) w""")
 def _(t):
     b = geo.with_ring_stats(t.polygons.select("place_id", "b_id", "rings")).select("place_id", "b_id", "cx", "cy", ((F.col("b_id") % 10 + 3) * 100).cast("double").alias("wall_h"))
-    out = joins.facade_viewpoints(b, roads(t), 2000.0)
+    out = joins.facade_viewpoints(b, roads(t), 500.0)
     return out.select("b_id", "line_id", "seq", half_up(F.col("heading") * 100).alias("heading_e2"), *ints("cam_x", "cam_y"))
 
 
@@ -222,7 +222,7 @@ def _(t):
 def _(t):
     cars = t.f_points.filter("kind = 'BUILDING'").select("place_id", F.col("pt_id").alias("car_id"), "x", "y", (F.col("pt_id") % 6).cast("double").alias("heading"))
     nodes = t.f_vertices.select("place_id", "node_id", F.col("x").alias("nx"), F.col("y").alias("ny")).distinct()
-    out = joins.recovery_candidates(cars, nodes, roads(t), buildings(t), 2000.0, 900.0, 6500.0, 200.0, 600.0, 130.0)
+    out = joins.recovery_candidates(cars, nodes, roads(t), buildings(t), 2000.0, 900.0, 6500.0, 200.0, 600.0, 130.0, fine=300.0)
     return out.select("car_id", "node_id", "turn", half_up(F.col("score") * 1000).alias("score_e3"))
 
 
