@@ -9,9 +9,8 @@ from placeloom.plans.catalog import QUERIES
 from placeloom.session import build_session
 
 HEADLINE = [
-    "list_buildings", "classify_roads", "impute_style", "owner_chunk", "line_spans", "point_in_polygon_join", "nearest_join",
-    "segment_intersection_join", "raster_sample", "chunk_index", "raster_blur", "ground_overlay", "collision_cells", "junctions", "crossings",
-    "connected_components", "shortest_paths", "completeness_areas", "delivery_lateness", "presence_sessions",
+    "list_buildings", "classify_roads", "impute_style", "owner_chunk", "line_spans", "point_in_polygon_join", "nearest_join", "segment_intersection_join",
+    "raster_sample", "raster_blur", "ground_overlay", "junctions", "connected_components", "presence_sessions",
 ]
 
 

@@ -21,6 +21,11 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in columns], made)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with `value` evaluated once inside a higher-order function."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clamp(v: Column, lo, hi) -> Column:
     lo, hi = (b if isinstance(b, Column) else F.lit(b) for b in (lo, hi))
     return F.least(F.greatest(v, lo), hi)

@@ -312,7 +312,7 @@ def corridor_clear(links: DataFrame, obstacles: DataFrame, land: DataFrame | Non
 
 
 def recovery_candidates(cars: DataFrame, nodes: DataFrame, segments: DataFrame, obstacles: DataFrame, cell: float, near: float, far: float, off_street: float,
-                        width: float, clearance: float) -> DataFrame:
+                        width: float, clearance: float, fine: float | None = None) -> DataFrame:
     """Best fresh pose per car (car_id, x, y, heading in radians): nodes (nx, ny) between `near` and `far`, at most `off_street`
     from a street wide enough, both directions, scored distance + 3 * turn (metres, in the caller's cm / 100), clear of obstacles."""
     d2 = (F.col("nx") - F.col("x")) * (F.col("nx") - F.col("x")) + (F.col("ny") - F.col("y")) * (F.col("ny") - F.col("y"))
