@@ -117,12 +117,12 @@ def overlap_with_cell(edges: Column, x0: Column, y0: Column, size) -> Column:
     return fold(edges, part)
 
 
-def cell_range(lo: Column, hi: Column, size: float) -> Column:
+def cell_range(lo: Column, hi: Column, size) -> Column:
     """Integer cells of [lo, hi]."""
     return F.sequence(F.floor(lo / size).cast("int"), F.floor(hi / size).cast("int"))
 
 
-def cells_of_box(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
+def cells_of_box(x0: Column, y0: Column, x1: Column, y1: Column, size) -> Column:
     """ARRAY<STRUCT<ci, cj>> of the grid cells a box touches."""
     return F.flatten(F.transform(cell_range(x0, x1, size), lambda i: F.transform(
         cell_range(y0, y1, size), lambda j: F.struct(i.alias("ci"), j.alias("cj")))))

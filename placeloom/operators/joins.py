@@ -158,11 +158,10 @@ def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int
     size = F.pow(F.lit(2.0), F.col("_lv")) * cell
     probes = (placed.withColumns({"_qi": F.floor(F.col(x) / size).cast("int"), "_qj": F.floor(F.col(y) / size).cast("int")})
               .withColumn("_c", F.explode(_neighbourhood("_qi", "_qj"))).select(*points.columns, "_lv", F.col("_c.ci").alias("_ci"), F.col("_c.cj").alias("_cj")))
-    spans = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(top - 1)), lambda lv: F.flatten(F.transform(
-        F.sequence(F.floor(tbox[0] / (F.pow(F.lit(2.0), lv) * cell)).cast("int"), F.floor(tbox[2] / (F.pow(F.lit(2.0), lv) * cell)).cast("int")),
-        lambda i: F.transform(F.sequence(F.floor(tbox[1] / (F.pow(F.lit(2.0), lv) * cell)).cast("int"), F.floor(tbox[3] / (F.pow(F.lit(2.0), lv) * cell)).cast("int")),
-                              lambda j: F.struct(lv.alias("lv"), i.alias("ci"), j.alias("cj")))))))
-    spread = sh.unnest(targets, spans, "_s").select("*", F.col("_s.lv").alias("_lv"), F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj")).drop("_s")
+    # Targets go only to levels some point asks for (at most `levels` rows, hence the hint), to the cells they touch there.
+    asked = level.select("_lv").distinct()
+    per_level = targets.withColumn("_lv", F.explode(F.sequence(F.lit(2), F.lit(top - 1)))).join(F.broadcast(asked), "_lv")
+    spread = sh.unnest(per_level, sh.cells_of_box(*tbox, F.pow(F.lit(2.0), F.col("_lv")) * cell), "_s").select(*targets.columns, "_lv", F.col("_s.ci").alias("_ci"), F.col("_s.cj").alias("_cj"))
     return probes.join(spread, [*keys, "_lv", "_ci", "_cj"]).drop("_lv", "_ci", "_cj")
 
 
