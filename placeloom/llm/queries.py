@@ -13,7 +13,7 @@ from placeloom.session import tune
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return store.settled(tune(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_crc(df: DataFrame) -> DataFrame:

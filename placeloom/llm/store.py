@@ -7,6 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def settled(spark: SparkSession) -> SparkSession:
+    """The session with batches of a size at which long texts fit a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in `spark.checkpoint.dir`; a folder of our own only where none is set and Spark runs in one process."""
     sc = spark.sparkContext
