@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.llm.store import stored
 from placeloom.operators.graph import connected_components
@@ -16,26 +16,29 @@ def components(links: DataFrame) -> DataFrame:
     return stored(connected_components(ends, edges).select(F.col("v").alias("id"), "component"), "components")
 
 
-def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(components, links) of all pairs that share a key of `entries(key, id)` and pass `verify(pairs a, b) -> links a, b`.
+def linked_groups(entries: DataFrame, info: DataFrame, fits: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(components, links) of all pairs that share a key of `entries(key, id)`, may link after `fits` and pass `verify(pairs a, b) -> links a, b`.
 
-    First every row is tried against the first row of its keys: that joins a group of near copies with one try a row. Then only
-    rows of one key in different components are tried, all of them, so no link between components is lost and none inside is sought."""
+    `fits(p, q)` is a condition on columns of `info(id, ...)`, named with those prefixes, that holds for every pair that links. First every row
+    is tried against the first row of its keys: that joins a group of near copies with one try a row. Then only rows of one key in
+    different components are tried, all that fit, each pair at the first key it shares: no link between components is lost, none inside is
+    sought, and no pair is made that doesn't fit."""
+    side = lambda df, p, *own: df.select(*own, *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c not in own])
     lead = entries.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z")
     live = stored(entries.join(lead, "key"), "shared_keys")
-    tried = stored(live.filter("a <> id").select("a", F.col("id").alias("b")).distinct(), "tried")
-    links = stored(verify(tried), "links")
+    tried = live.filter("a <> id").select(F.col("a").alias("p_id"), F.col("id").alias("q_id")).distinct()
+    tried = tried.join(side(info, "p"), "p_id").join(side(info, "q"), "q_id").filter(fits("p", "q")).select(F.col("p_id").alias("a"), F.col("q_id").alias("b"))
+    links = stored(verify(stored(tried, "tried")), "links")
     if links.isEmpty():
         tagged = live.select("key", "id", F.col("id").alias("c"))
     else:
-        own = components(links)
-        tagged = live.select("key", "id").join(own, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        tagged = live.select("key", "id").join(components(links), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = tagged.groupBy("key").agg(F.min("c").alias("l"), F.max("c").alias("h")).filter("l < h").select("key")
-    left = stored(tagged.join(mixed, "key", "left_semi").distinct(), "mixed_keys")
-    kinds = left.select("key", "c").distinct()
-    across = kinds.select("key", F.col("c").alias("ca")).join(kinds.select("key", F.col("c").alias("cb")), "key").filter("ca < cb")
-    one = across.join(left.select("key", F.col("c").alias("ca"), F.col("id").alias("ia")), ["key", "ca"])
-    both = one.join(left.select("key", F.col("c").alias("cb"), F.col("id").alias("ib")), ["key", "cb"])
-    rest = both.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = stored(links.unionByName(verify(stored(rest, "rest"))), "all_links")
+    left = stored(tagged.join(mixed, "key", "left_semi"), "mixed_keys")
+    keys = left.groupBy("id").agg(F.collect_set("key").alias("keys"))  # of one row, as many as its own entries
+    rows = left.join(keys, "id").join(info, "id")
+    first = F.array_min(F.array_intersect("p_keys", "q_keys")) == F.col("key")
+    across = side(rows, "p", "key").join(side(rows, "q", "key"), "key").filter((F.col("p_id") < F.col("q_id")) & (F.col("p_c") != F.col("q_c")) & fits("p", "q") & first)
+    rest = stored(across.select(F.col("p_id").alias("a"), F.col("q_id").alias("b")), "rest")
+    links = stored(links.unionByName(verify(rest)), "all_links")
     return components(links), links

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.llm.blobs import column, pack, tasks, tokenised, unpack, unpack_words
 from placeloom.llm.groups import linked_groups
 from placeloom.llm.store import stored
 
+SKETCH = 16  # words of 64 bits
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,6 +52,12 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.round(8 * np.log2(counts))).astype(np.uint8)
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """SKETCH * 64 bits, each the parity of the tokens that fall on it: sketches differ in at most as many bits as sets in tokens."""
+    odd = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def prefix_keys(tokens: np.ndarray, classes: np.ndarray, t: int, frequent: int, k: int) -> np.ndarray:
     """Index keys of one set, such that two sets of Jaccard similarity >= t / 100 share one.
 
@@ -147,16 +154,20 @@ def jaccard_groups(docs: DataFrame, row: str | None = None, words: int = 4, perc
                     if len(found):
                         keys.append(found)
                         owners.append(np.full(len(found), row))
-                        held.append((row, tokens.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int64()), pa.array([np.unique(k).view(np.int64) for k in keys], pa.list_(pa.int64())), pa.array([t for _, t in held], pa.binary())], names=["id", "keys", "tokens"])
+                        held.append((row, len(tokens), tokens.tobytes(), np.frombuffer(parity(tokens), np.int64)))
+                cols = [pa.array([h[0] for h in held], pa.int64()), pa.array([np.unique(k).view(np.int64) for k in keys], pa.list_(pa.int64())), pa.array([h[1] for h in held], pa.int32()), pa.array([h[2] for h in held], pa.binary()), pa.array([h[3] for h in held], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "keys", "n", "tokens", "sketch"])
 
-    indexed = stored(source.mapInArrow(index, "id long, keys array<long>, tokens binary"), "index")
-    side = lambda p: indexed.select(F.col("id").alias(p), F.col("tokens").alias(f"t{p}"), F.octet_length("tokens").alias(f"n{p}"))
+    indexed = stored(source.mapInArrow(index, "id long, keys array<long>, n int, tokens binary, sketch array<long>"), "index")
+    info = indexed.select("id", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        size = lambda p: indexed.select(F.col("id").alias(p), F.octet_length("tokens").alias(f"n{p}"))
-        fit = pairs.join(size("a"), "a").join(size("b"), "b").filter(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")).select("a", "b")
+    def fits(p: str, q: str) -> Column:
+        """Sizes and sketches near enough: similar sets leave at most (100 - t) / (100 + t) of both sizes alone."""
+        n, m = F.col(f"{p}_n"), F.col(f"{q}_n")
+        apart = sum((F.bit_count(F.col(f"{p}_s{k}").bitwiseXOR(F.col(f"{q}_s{k}"))) for k in range(SKETCH)), F.lit(0))
+        return (F.least(n, m) * 100 >= percent * F.greatest(n, m)) & (apart * (100 + percent) <= (100 - percent) * (n + m))
 
+    def verify(pairs: DataFrame) -> DataFrame:
         def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 keep = []
@@ -166,10 +177,10 @@ def jaccard_groups(docs: DataFrame, row: str | None = None, words: int = 4, perc
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        tokens = lambda p: side(p).drop(f"n{p}")
-        return fit.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+        tokens = lambda p: indexed.select(F.col("id").alias(p), F.col("tokens").alias(f"t{p}"))
+        return pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
-    groups, _ = linked_groups(indexed.select("id", F.explode("keys").alias("key")), verify)
+    groups, _ = linked_groups(indexed.select("id", F.explode("keys").alias("key")), info, fits, verify)
     placed = owner.join(groups.select(F.col("id").alias("set_row"), "component"), "set_row", "left").withColumn("g", F.coalesce("component", "set_row", "_row"))
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
     heads = placed.groupBy("g").agg(F.min(best).alias("head"))
