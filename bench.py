@@ -10,7 +10,8 @@ from placeloom.session import build_session
 
 HEADLINE = [
     "list_buildings", "classify_roads", "impute_style", "owner_chunk", "line_spans", "point_in_polygon_join", "nearest_join", "segment_intersection_join",
-    "raster_sample", "raster_blur", "ground_overlay", "junctions", "connected_components", "presence_sessions",
+    "raster_sample", "raster_blur", "ground_overlay", "junctions", "connected_components", "presence_sessions", "chunk_index", "collision_cells",
+    "crossings", "shortest_paths", "completeness_areas", "delivery_lateness",
 ]
 
 

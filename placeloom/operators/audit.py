@@ -107,9 +107,8 @@ def completeness_areas(expected: DataFrame, kept: DataFrame, res_area: float, lo
     rows = expected.select(*keys, F.lit(1).alias("e"), F.lit(0).alias("k")).unionByName(kept.select(*keys, F.lit(0).alias("e"), F.lit(1).alias("k")))
     cell = rows.groupBy(*keys).agg(F.max("e").alias("e"), F.max("k").alias("k"))
     table = cell.groupBy("place_id", "class").agg(F.sum("e").alias("expected"), F.sum("k").alias("kept"), F.count_if((F.col("e") == 1) & (F.col("k") == 0)).alias("lost"), F.count_if((F.col("e") == 0) & (F.col("k") == 1)).alias("fabricated"))
-    # A lost cell is a vertex (its number orders cells within a place and class), side neighbours are edges.
-    number = lambda i, j: (F.col("class").cast("bigint") * 1000003 + F.col(i) + 20000) * 100003 + F.col(j) + 20000
-    lost = cell.filter("e = 1 AND k = 0").select(*keys).withColumn("v", number("ci", "cj"))
+    # A lost cell is a vertex (class and cell, of any type and size), side neighbours are edges.
+    lost = cell.filter("e = 1 AND k = 0").select(*keys).withColumn("v", F.struct("class", "ci", "cj"))
     right = lost.select("place_id", "class", (F.col("ci") + 1).alias("ci"), "cj", F.col("v").alias("a"))
     upper = lost.select("place_id", "class", "ci", (F.col("cj") + 1).alias("cj"), F.col("v").alias("a"))
     links = right.unionByName(upper).join(lost, keys).select("place_id", "a", F.col("v").alias("b"))

@@ -92,7 +92,7 @@ def junction_graph(lines: DataFrame, junction_nodes: DataFrame) -> DataFrame:
     return best.select("place_id", "a", "b", F.col("m.length").alias("length"), F.col("m.way_id").alias("way_id"))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(place_id, v, component): the lowest vertex of each component.
 
     Alternating large-star / small-star rounds: each round links every neighbour to the lowest one seen, so the number
@@ -100,7 +100,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     aggregation; one count per round (of a change flag written with the round) tells when to stop."""
     both = lambda e: e.select("place_id", "u", "v").unionByName(e.select("place_id", F.col("v").alias("u"), F.col("u").alias("v")))
     star = cut_lineage(edges.select("place_id", F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct())
-    for _ in range(max_rounds):
+    while True:
         # Large star: neighbours above u join the lowest of u's neighbourhood.
         near = both(star)
         low = near.groupBy("place_id", "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -121,7 +121,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     return vertices.join(roots, ["place_id", "v"], "left").select("place_id", "v", F.coalesce("root", "v").alias("component"))
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 10000, cut_every: int = 4, min_width: float | None = None, blocked: DataFrame | None = None) -> DataFrame:
+def shortest_paths(edges: DataFrame, sources: DataFrame, min_width: float | None = None, blocked: DataFrame | None = None) -> DataFrame:
     """Least length from every source to every vertex it reaches (route_id, v, dist, hops, parent): frontier relaxation for
     all sources at once. Only vertices improved in a round travel in the next one. `sources(place_id, route_id, v)`."""
     usable = edges if min_width is None else edges.filter(F.col("width") >= min_width)
@@ -130,7 +130,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 10000
     steps = cut_lineage(usable.select("place_id", F.col("a").alias("v"), F.col("b").alias("w"), "length").unionByName(usable.select("place_id", F.col("b").alias("v"), F.col("a").alias("w"), "length")))
     known = cut_lineage(sources.select("place_id", "route_id", "v", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"), F.lit(None).cast("bigint").alias("parent"), F.lit(True).alias("fresh")))
     best = F.struct("dist", "hops", F.coalesce("parent", F.lit(-1)).alias("parent"), "fresh")
-    for _ in range(max_rounds):
+    while True:
         offers = known.filter("fresh").join(steps, ["place_id", "v"]).select("place_id", "route_id", F.col("w").alias("v"), (F.col("dist") + F.col("length")).alias("dist"), (F.col("hops") + 1).alias("hops"),
                                                                               F.col("v").alias("parent"), F.lit(True).alias("fresh"))
         # `fresh` sorts last: on equal offers the old row (false) is kept and the vertex rests.
@@ -141,15 +141,15 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 10000
     return known.drop("fresh")
 
 
-def routes(paths: DataFrame, targets: DataFrame, max_hops: int = 10000) -> DataFrame:
+def routes(paths: DataFrame, targets: DataFrame) -> DataFrame:
     """Vertices of each route from its target back to its source (route_id, v, hops), walked back over the parent column,
     all routes at once. `targets(place_id, route_id, v)`."""
     at = cut_lineage(targets.join(paths, ["place_id", "route_id", "v"]).select("place_id", "route_id", "v", "hops", "dist", "parent"))
-    out, rounds = at, 0
-    while not at.filter("parent IS NOT NULL").isEmpty() and rounds < max_hops:
+    out = at
+    while not at.filter("parent IS NOT NULL").isEmpty():
         back = at.filter("parent IS NOT NULL").select("place_id", "route_id", F.col("parent").alias("v"))
         at = cut_lineage(back.join(paths, ["place_id", "route_id", "v"]).select("place_id", "route_id", "v", "hops", "dist", "parent"))
-        out, rounds = out.unionByName(at), rounds + 1
+        out = out.unionByName(at)
     return out
 
 

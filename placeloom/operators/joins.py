@@ -6,6 +6,8 @@ distinct. A cell that holds very many rows is a skewed join key: adaptive execut
 (`session.SQL_SETTINGS`), and `hot_rows` splits it explicitly."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.functions import shapes as sh
@@ -135,14 +137,25 @@ def _neighbourhood(ci: str, cj: str) -> Column:
         F.sequence(F.lit(-1), F.lit(1)), lambda b: F.struct((F.col(ci) + a).alias("ci"), (F.col(cj) + b).alias("cj")))))
 
 
-def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int, cell: float, levels: int, keys: list[str], x: str, y: str,
+def spanning_levels(points: DataFrame, targets: DataFrame, x: str, y: str, tbox: Box, cell: float) -> int:
+    """Doublings of `cell` after which neighbouring cells hold all positions of both sides, from one row of extents per side."""
+    ends = lambda df, box: df.agg(F.min(box[0]), F.min(box[1]), F.max(box[2]), F.max(box[3])).first()
+    found = [e for e in (ends(points, (x, y, x, y)), ends(targets, tbox)) if e[0] is not None]
+    if not found:
+        return 1
+    wide = max(max(e[k + 2] for e in found) - min(e[k] for e in found) for k in (0, 1))
+    return max(1, math.ceil(math.log2(max(float(wide), cell) / cell)) + 1)
+
+
+def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int, cell: float, levels: int | None, keys: list[str], x: str, y: str,
                    anchor: tuple[Column, Column], tbox: Box) -> DataFrame:
     """Each point joined with a set of targets that surely holds its k nearest, without rounds and without a cap.
 
     A pyramid of doubling cells counts targets (by an anchor point on each). The lowest level whose 3 x 3 block round the
     point holds k anchors bounds the k-th distance by 2 * sqrt(2) cells; two levels up every target within that
     distance touches the 3 x 3 block, so one equi-join on (keys, level, cell) there is exact. A point with fewer than k
-    targets even at the top level gets everything round it there."""
+    targets even at the top level gets everything there: that level's 3 x 3 block spans the data."""
+    levels = levels or spanning_levels(points, targets, x, y, tbox, cell)
     top = levels + 2
     at = _levels(anchor[0], anchor[1], cell, levels)
     full = targets.select(*keys, F.explode(at).alias("a")).groupBy(*keys, "a.lv", "a.ci", "a.cj").agg(F.count("*").alias("n"))
@@ -165,11 +178,11 @@ def knn_candidates(points: DataFrame, targets: DataFrame, pid: list[str], k: int
     return probes.join(spread, [*keys, "_lv", "_ci", "_cj"]).drop("_lv", "_ci", "_cj")
 
 
-def nearest_join(points: DataFrame, segments: DataFrame, pid: list[str], sid: list[str], cell: float, levels: int = 8, keys: list[str] | None = None,
+def nearest_join(points: DataFrame, segments: DataFrame, pid: list[str], sid: list[str], cell: float, levels: int | None = None, keys: list[str] | None = None,
                  x: str = "x", y: str = "y", max_distance: float | None = None) -> DataFrame:
     """Each point with its nearest segment (lowest `sid` on a tie): the segment's columns, t, px, py, d2. A point further
     than `max_distance` (or in a place without segments) has no row. Columns of the sides must differ except `keys`.
-    `cell` is the finest bin, best about the usual distance; `levels` doublings of it must span a place."""
+    `cell` is the finest bin, best about the usual distance; as many doublings of it are used as span the data."""
     keys = ["place_id"] if keys is None else keys
     cols = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
     cand = knn_candidates(points, segments, pid, 1, cell, levels, keys, x, y, (F.col("x1"), F.col("y1")), segment_box())
@@ -183,7 +196,7 @@ def nearest_join(points: DataFrame, segments: DataFrame, pid: list[str], sid: li
     return best.select(*pid, *[F.col(f"_b.{c}").alias(c) for c in kept + carried])
 
 
-def knn_join(points: DataFrame, targets: DataFrame, pid: list[str], tid: list[str], k: int, cell: float, levels: int = 8, keys: list[str] | None = None) -> DataFrame:
+def knn_join(points: DataFrame, targets: DataFrame, pid: list[str], tid: list[str], k: int, cell: float, levels: int | None = None, keys: list[str] | None = None) -> DataFrame:
     """The k nearest targets (tx, ty) of each point (x, y), ranked by distance, then `tid`."""
     from placeloom.operators.scale import top_k
     keys = ["place_id"] if keys is None else keys

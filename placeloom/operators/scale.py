@@ -9,6 +9,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from placeloom.session import cut_lineage
 
 
+def _with_offsets(rows: DataFrame, offsets: DataFrame, on: list[str]) -> DataFrame:
+    """Left rows with the offset of their keys, where NULL keys are equal."""
+    right = offsets.select(*[F.col(k).alias(f"__{k}") for k in on], *[c for c in offsets.columns if c not in on])
+    cond = F.lit(True)
+    for k in on:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(right, cond).drop(*[f"__{k}" for k in on])
+
+
 def running_sum(df: DataFrame, keys: list[str], seq: str, value: Column, out: str, before: str | None = None, bucket: int = 4096) -> DataFrame:
     """Inclusive running sum of `value` by the integer `seq` within `keys`; `before` is the sum up to the previous row.
 
@@ -19,7 +28,7 @@ def running_sum(df: DataFrame, keys: list[str], seq: str, value: Column, out: st
     totals = rows.groupBy(*keys, "_b").agg(F.sum("_v").alias("_t"))
     ahead = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_b", F.coalesce(F.sum("_t").over(ahead), F.lit(0) * F.col("_t")).alias("_o"))
-    summed = rows.withColumn("_r", F.sum("_v").over(inner)).join(offsets, [*keys, "_b"])
+    summed = _with_offsets(rows.withColumn("_r", F.sum("_v").over(inner)), offsets, [*keys, "_b"])
     result = summed.withColumn(out, F.col("_o") + F.col("_r"))
     if before:
         result = result.withColumn(before, F.col("_o") + F.col("_r") - F.col("_v"))
@@ -32,7 +41,7 @@ def running_min(df: DataFrame, keys: list[str], seq: str, value: Column, out: st
     inner = W.partitionBy(*keys, "_b").orderBy(seq).rowsBetween(W.unboundedPreceding, 0)
     ahead = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     lows = rows.groupBy(*keys, "_b").agg(F.min("_v").alias("_t")).select(*keys, "_b", F.min("_t").over(ahead).alias("_o"))
-    joined = rows.withColumn("_r", F.min("_v").over(inner)).join(lows, [*keys, "_b"])
+    joined = _with_offsets(rows.withColumn("_r", F.min("_v").over(inner)), lows, [*keys, "_b"])
     return joined.withColumn(out, F.least("_r", "_o")).drop("_v", "_b", "_r", "_o")
 
 
@@ -66,7 +75,7 @@ def spread_row_number(df: DataFrame, keys: list[str], order: list[str], out: str
     ahead = W.partitionBy(*keys).orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_p", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_o"))
     local = placed.withColumn("_r", F.row_number().over(W.partitionBy("_p", *keys).orderBy(*order)))
-    return local.join(offsets, [*keys, "_p"]).withColumn(out, F.col("_r") + F.col("_o")).drop("_p", "_r", "_o")
+    return _with_offsets(local, offsets, [*keys, "_p"]).withColumn(out, F.col("_r") + F.col("_o")).drop("_p", "_r", "_o")
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str = "rank_no", salts: int = 32) -> DataFrame:

@@ -67,7 +67,7 @@ def spawn_point(lines: DataFrame, footprints: DataFrame, land: DataFrame, offset
     return best.select("place_id", "b.*")
 
 
-def spaced_selection(points: DataFrame, keys: list[str], order: list[Column], pid: str, distance: float, k: int, cell: float | None = None, max_rounds: int = 1000) -> DataFrame:
+def spaced_selection(points: DataFrame, keys: list[str], order: list[Column], pid: str, distance: float, k: int, cell: float | None = None) -> DataFrame:
     """Greedy choice in priority order: a point is taken when it is at least `distance` from all taken before it, at most k.
 
     Parallel form of the same greedy: in each round every point that outranks all undecided points closer than `distance`
@@ -80,7 +80,7 @@ def spaced_selection(points: DataFrame, keys: list[str], order: list[Column], pi
     ranked = spread_row_number(points.withColumns(dict(zip(names, order))).select(*keys, pid, "x", "y", *names), keys, [*names, pid], "rank").drop(*names)
     left, taken = cut_lineage(ranked), []
     size = cell or distance
-    for _ in range(max_rounds):
+    while True:
         other = left.select(*keys, F.col("rank").alias("r2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
         gap = (F.col("x") - F.col("x2")) * (F.col("x") - F.col("x2")) + (F.col("y") - F.col("y2")) * (F.col("y") - F.col("y2")) < distance * distance
         beaten = binned_join(left, other, grow(point_box(), distance), point_box("x2", "y2"), size, gap & (F.col("r2") < F.col("rank")), keys=keys).select(*keys, "rank").distinct()

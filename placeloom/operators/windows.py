@@ -76,13 +76,13 @@ def every_nth(rows: DataFrame, keys: list[str], order: list[str], wanted: int =
 
 # ---------------------------------------------------------------- rasters (place_id, j, i, z): a window holds one row or column
 def _shifted(value: str, k: int, w) -> Column:
-    """The value k cells on, or the edge value past the border."""
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    """The value k cells on; past the border the edge value, at a hole the cell's own."""
     if k == 0:
         return F.col(value)
-    if k < 0:
-        return F.coalesce(F.lag(value, -k).over(w), F.first(value).over(whole))
-    return F.coalesce(F.lead(value, k).over(w), F.last(value).over(whole))
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    step, edge = (F.lag, F.first) if k < 0 else (F.lead, F.last)
+    outside = step(F.lit(1), abs(k)).over(w).isNull()
+    return F.coalesce(F.when(outside, edge(value).over(whole)).otherwise(step(value, abs(k)).over(w)), F.col(value))
 
 
 def along_row():
