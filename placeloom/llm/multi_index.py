@@ -67,12 +67,12 @@ def visit(book: Codebook, held: np.ndarray, query: np.ndarray, enough: int) -> l
     return out
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3, least: int = 2000, sample: int = 20_000, block: int = 2048, seed: int = 5) -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3, least: int = 2000, sample: int = 20_000, block: int = 8192, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` vectors of largest inner product found for each vec_id divisible by `every`.
 
     The codebook is fitted on at most `sample` vectors (hash order); every vector is indexed. A query visits cells until they hold
-    `share` of all vectors, and `least` at any rate, and every entry of a visited cell is scored: no bucket is capped. A
-    cell of more than `block` entries is dealt out in blocks, so one much repeated vector is many tasks' work. Ties go to the smaller vec_id.
+    `share` of all vectors, and `least` at any rate, and every entry of a visited cell is scored: no bucket is capped.
+    Entries and queries are dealt out in blocks of about `block`, so one much repeated vector is many tasks' work. Ties go to the smaller vec_id.
 
     Vectors NULL, zero, with a NULL or non-finite component, of another length, or without id take no part; repeated rows with one id are
     separate entries (a query's own id is never among its answers); an empty table gives no rows; other columns are ignored."""
@@ -96,41 +96,50 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3,
     held = np.zeros(len(book.first) * len(book.second), np.int64)
     for cell, count in entries.groupBy("cell").count().collect():  # at most 256 * 256 numbers
         held[cell] = count
-    blocks, enough = np.maximum(1, -(-held // block)), max(least, int(np.ceil(share * n)))
+    asked = entries.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    # Entries of the cells of one first-half centroid meet the queries that visit any of them; both sides are cut to a bounded size.
+    width, enough = len(book.second), max(least, int(np.ceil(share * n)))
+    parts_of, query_parts = np.maximum(1, -(-held.reshape(-1, width).sum(1) // block)), max(1, -(-asked.count() // block))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, cells, parts, vs = [], [], [], []
+            rows = []
             for q, v in zip(column(batch, "vec_id"), column(batch, "x")):
-                for cell in visit(book, held, np.frombuffer(v), enough):
-                    for part in range(blocks[cell]):
-                        ids.append(q), cells.append(cell), parts.append(part), vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.int32()), pa.array(parts, pa.int32()), pa.array(vs, pa.binary())], names=["query_id", "cell", "part", "q"])
+                cells = np.array(visit(book, held, np.frombuffer(v), enough))
+                for first in np.unique(cells // width):
+                    seen = np.zeros(width, bool)
+                    seen[cells[cells // width == first] % width] = True
+                    rows += [(q, int(first), part, q // every % query_parts, v, seen.tobytes()) for part in range(parts_of[first])]
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names=["query_id", "first", "part", "asked", "q", "seen"])
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        q, e = np.stack([np.frombuffer(v) for v in left["q"]]), np.stack([np.frombuffer(v) for v in right["x"]])
-        ids, qs, rows = right["vec_id"].to_numpy(), left["query_id"].to_numpy(), []
-        rough = q @ e.T
-        rough[qs[:, None] == ids[None, :]] = -np.inf
-        for own, line, vec in zip(qs, rough, q):
-            own_free = line[line > -np.inf]
-            if not len(own_free):
-                continue
-            edge = np.partition(own_free, -min(k, len(own_free)))[-min(k, len(own_free))]
-            near = np.flatnonzero(line >= edge - 1e-9 * (1 + abs(edge)))
-            score = (e[near] * vec).sum(1)  # summed in one fixed order, so equal vectors tie
-            best = np.lexsort((ids[near], -score))[:k]
-            rows.append((np.full(len(best), own), ids[near][best], score[best]))
+        e, own_cell, ids, rows = np.stack([np.frombuffer(v) for v in right["x"]]), right["cell"].to_numpy() % width, right["vec_id"].to_numpy(), []
+        for at in range(0, len(left), 256):
+            some = left.iloc[at:at + 256]
+            q, qs = np.stack([np.frombuffer(v) for v in some["q"]]), some["query_id"].to_numpy()
+            seen = np.stack([np.frombuffer(v, bool) for v in some["seen"]])[:, own_cell] & (qs[:, None] != ids[None, :])
+            rough = np.where(seen, q @ e.T, -np.inf)
+            for own, line, vec in zip(qs, rough, q):
+                free = line[line > -np.inf]
+                if not len(free):
+                    continue
+                edge = np.partition(free, -min(k, len(free)))[-min(k, len(free))]
+                near = np.flatnonzero(line >= edge - 1e-9 * (1 + abs(edge)))
+                score = (e[near] * vec).sum(1)  # summed in one fixed order, so equal vectors tie
+                best = np.lexsort((ids[near], -score))[:k]
+                rows.append((np.full(len(best), own), ids[near][best], score[best]))
         cols = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
 
     # A query id that several rows share is asked once, with its first vector.
-    asked = entries.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
-    pairs = asked.mapInArrow(route, "query_id long, cell int, part int, q binary")
-    count_of = F.element_at(F.lit([int(b) for b in blocks]), F.col("cell") + 1)
-    dealt = entries.select("cell", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), count_of).cast("int").alias("part"), "vec_id", "x")
-    found = pairs.groupBy("cell", "part").cogroup(dealt.groupBy("cell", "part")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    pairs = asked.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(route, "query_id long, first int, part int, asked int, q binary, seen binary")
+    first = F.floor(F.col("cell") / width).cast("int")
+    count_of = F.element_at(F.lit([int(c) for c in parts_of]), first + 1)
+    dealt = entries.select(first.alias("first"), F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), count_of).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("asked"), "cell", "vec_id", "x")
+    keys = ["first", "part", "asked"]
+    found = pairs.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(rerank, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
