@@ -67,7 +67,7 @@ def visit(book: Codebook, held: np.ndarray, query: np.ndarray, enough: int) -> l
     return out
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3, least: int = 2000, sample: int = 20_000, block: int = 8192, seed: int = 5) -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.5, least: int = 2000, centroids: int = 64, groups: int = 8, sample: int = 20_000, block: int = 8192, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` vectors of largest inner product found for each vec_id divisible by `every`.
 
     The codebook is fitted on at most `sample` vectors (hash order); every vector is indexed. A query visits cells until they hold
@@ -83,7 +83,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3,
     if not n:
         return vectors.sparkSession.createDataFrame([], out)
     x = np.stack(got["x"])
-    rng, half, size = np.random.default_rng(seed), x.shape[1] // 2, int(np.clip(round((n / 200) ** 0.5), 2, 256))
+    rng, half, size = np.random.default_rng(seed), x.shape[1] // 2, min(centroids, max(2, n // 20))
     book = Codebook(k_means(x[:, :half], size, 12, rng), k_means(x[:, half:], size, 12, rng))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,21 +94,21 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3,
 
     entries = stored(points.mapInArrow(index, "vec_id long, cell int, x binary"), "entries")
     held = np.zeros(len(book.first) * len(book.second), np.int64)
-    for cell, count in entries.groupBy("cell").count().collect():  # at most 256 * 256 numbers
+    for cell, count in entries.groupBy("cell").count().collect():  # at most centroids ** 2 numbers
         held[cell] = count
     asked = entries.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    # Entries of the cells of one first-half centroid meet the queries that visit any of them; both sides are cut to a bounded size.
-    width, enough = len(book.second), max(least, int(np.ceil(share * n)))
-    parts_of, query_parts = np.maximum(1, -(-held.reshape(-1, width).sum(1) // block)), max(1, -(-asked.count() // block))
+    # Cells are put in `groups`; a group's entries meet the queries that visit any of its cells, and both sides are cut to a bounded size.
+    enough, query_parts = max(least, int(np.ceil(share * n))), max(1, -(-asked.count() // block))
+    parts_of = np.maximum(1, -(-np.bincount(np.arange(len(held)) % groups, held, groups).astype(int) // block))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for q, v in zip(column(batch, "vec_id"), column(batch, "x")):
                 cells = np.array(visit(book, held, np.frombuffer(v), enough))
-                for first in np.unique(cells // width):
-                    seen = np.zeros(width, bool)
-                    seen[cells[cells // width == first] % width] = True
+                for first in np.unique(cells % groups):
+                    seen = np.zeros(-(-len(held) // groups), bool)
+                    seen[cells[cells % groups == first] // groups] = True
                     rows += [(q, int(first), part, q // every % query_parts, v, seen.tobytes()) for part in range(parts_of[first])]
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names=["query_id", "first", "part", "asked", "q", "seen"])
@@ -116,7 +116,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3,
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        e, own_cell, ids, rows = np.stack([np.frombuffer(v) for v in right["x"]]), right["cell"].to_numpy() % width, right["vec_id"].to_numpy(), []
+        e, own_cell, ids, rows = np.stack([np.frombuffer(v) for v in right["x"]]), right["cell"].to_numpy() // groups, right["vec_id"].to_numpy(), []
         for at in range(0, len(left), 256):
             some = left.iloc[at:at + 256]
             q, qs = np.stack([np.frombuffer(v) for v in some["q"]]), some["query_id"].to_numpy()
@@ -136,7 +136,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = 0.3,
 
     # A query id that several rows share is asked once, with its first vector.
     pairs = asked.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(route, "query_id long, first int, part int, asked int, q binary, seen binary")
-    first = F.floor(F.col("cell") / width).cast("int")
+    first = F.pmod("cell", F.lit(groups))
     count_of = F.element_at(F.lit([int(c) for c in parts_of]), first + 1)
     dealt = entries.select(first.alias("first"), F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), count_of).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("asked"), "cell", "vec_id", "x")
     keys = ["first", "part", "asked"]
