@@ -444,3 +444,16 @@ def test_pipeline(spark):
     assert sorted((r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in after.collect()) == sorted(packed_by_hand([(r.doc_id, r.text) for r in before.collect()], tokens.vocabulary(), 4096, 1))
     before, after = kept["quality_classifier"]
     assert 0.6 * before.count() < after.count() <= before.count()
+
+
+def test_lines_normalised_at_once():
+    rng = np.random.default_rng(6)
+    for n in [0, 1, 2, *rng.integers(0, 80, 300)]:
+        text = bytes(rng.choice(np.frombuffer(b"aZ09.,- \n\t\r\x0b\x00\xc3", np.uint8), n))
+        flat, ends, line = lines.normalised_text(text)
+        starts, whole = [0, *(ends[:-1] + 1)], flat.tobytes()
+        assert [(k, whole[i:j]) for k, i, j in zip(line, starts, ends)] == [(k, w) for k, x in enumerate(text.split(b"\n")) for w in lines.normalised(x)]
+    words = [[b"w%d" % k for k in rng.integers(0, 40, n)] for n in (1, 5, 255, 256, 700)]
+    for got, line in zip(lines.simhash(words), words):
+        one = [f"{int(lines.simhash([[w]])[0]) & (1 << 64) - 1:064b}" for w in line]
+        assert f"{int(got) & (1 << 64) - 1:064b}" == "".join("01"[2 * sum(b == "1" for b in bits) > len(line)] for bits in zip(*one))
