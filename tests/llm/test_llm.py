@@ -457,3 +457,12 @@ def test_lines_normalised_at_once():
     for got, line in zip(lines.simhash(words), words):
         one = [f"{int(lines.simhash([[w]])[0]) & (1 << 64) - 1:064b}" for w in line]
         assert f"{int(got) & (1 << 64) - 1:064b}" == "".join("01"[2 * sum(b == "1" for b in bits) > len(line)] for bits in zip(*one))
+
+
+def test_lines_similar_is_exact():
+    rng = np.random.default_rng(8)
+    for _ in range(500):
+        p = [b"abc"[: k + 1] * 2 for k in rng.integers(0, 3, int(rng.integers(1, 12)))]
+        q = [w if rng.random() < 0.8 else b"xyabc"[: int(rng.integers(1, 6))] for w in p][int(rng.integers(0, 2)) :]
+        a, b = b" ".join(p), b" ".join(q)
+        assert lines.similar(p, q, 0.8) == (lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
