@@ -228,8 +228,8 @@ def test_lines_edit_distance():
         assert lines.edit_distance(a, b) == d[-1][-1]
 
 
-def lines_by_hand(rows, least=5, distance=3, similarity=0.8):
-    """Texts after removal; rows in order of (doc_id, row)."""
+def lines_by_hand(rows, least=5, apart=18, similarity=0.8):
+    """Texts after removal; rows in order of (doc_id, row). All pairs of lines within `apart` bits of SimHash are compared, whatever keys they share."""
     all_ = [(i, k, lines.normalised(x)) for i, (_, t) in enumerate(rows) for k, x in enumerate((t or "").encode().split(b"\n"))]
     all_ = [(i, k, w) for i, k, w in all_ if len(w) >= least]
     sims = [int(s) for s in lines.simhash([w for *_, w in all_])] if all_ else []
@@ -242,7 +242,7 @@ def lines_by_hand(rows, least=5, distance=3, similarity=0.8):
 
     for x in range(len(all_)):
         for y in range(x):
-            if bin((sims[x] ^ sims[y]) & (1 << 64) - 1).count("1") <= distance:
+            if bin((sims[x] ^ sims[y]) & (1 << 64) - 1).count("1") <= apart:
                 a, b = b" ".join(all_[x][2]), b" ".join(all_[y][2])
                 if 1 - lines.edit_distance(a, b) / max(len(a), len(b)) >= similarity:
                     p, q = sorted((root(x), root(y)))
@@ -459,6 +459,35 @@ def test_lines_normalised_at_once():
         assert f"{int(got) & (1 << 64) - 1:064b}" == "".join("01"[2 * sum(b == "1" for b in bits) > len(line)] for bits in zip(*one))
 
 
+def test_least_shingles():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 9, 60)
+    hashes = rng.integers(0, 6, counts.sum()).astype(np.uint64)
+    first = np.cumsum(counts) - counts
+    got = np.array(lines.least_shingles(hashes, first, counts)).T
+    seen = {}
+    for row, i, n in zip(got, first, counts):
+        runs = {tuple(hashes[k:k + 3].tolist()) for k in range(i, i + max(1, n - 2))} if n >= 3 else {tuple(hashes[i:i + n].tolist())}
+        assert len(set(row)) == min(3, len(runs))
+        seen.setdefault(frozenset(runs), set()).add(frozenset(row.tolist()))
+    assert all(len(v) == 1 for v in seen.values())
+
+
+def test_near_lines_are_found(spark):
+    """Lines of 8 to 60 words with a word or a tenth of the words other: all but a few pairs are found."""
+    rng = np.random.default_rng(5)
+    rows, letters = [], str.maketrans(string.digits, "abcdefghij")  # digits of a line are all alike
+    for k in range(300):
+        words = [f"w{x}".translate(letters) for x in rng.integers(0, 3000, int(rng.integers(8, 60)))]
+        other = list(words)
+        for at in rng.choice(len(words), max(1, len(words) // 10), replace=False):
+            other[at] = f"v{rng.integers(0, 3000)}".translate(letters)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    out = lines.dedupe_lines(table(spark, rows, "doc_id long, text string"))
+    gone = [r.doc_id for r in out.filter("n_removed > 0").collect()]
+    assert all(d % 2 for d in gone) and len(gone) >= 290
+
+
 def test_lines_similar_is_exact():
     rng = np.random.default_rng(8)
     for _ in range(500):
