@@ -3,7 +3,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from placeloom.operators import audit, geometry as geo, joins, scale, windows
+from placeloom.operators import audit, geometry as geo, joins, resolve, scale, windows
 
 
 def test_far_target_is_found(spark):
@@ -44,3 +44,10 @@ def test_antipodes_give_null(spark):
     a, b, d = (math.radians(x) for x in (52.0, -33.0, 138.0))
     sphere = 6371008.8 * math.acos(math.sin(a) * math.sin(b) + math.cos(a) * math.cos(b) * math.cos(d))
     assert out[0].distance_m is None and abs(out[1].azimuth - math.atan2(1.0, math.sqrt(0.99330562))) < 0.01 and abs(out[2].distance_m / sphere - 1) < 0.006
+
+
+def test_road_overrides_stay_in_their_place(spark):
+    roads = spark.createDataFrame([(1, 10, {"name": "Main"}), (2, 20, {"name": "Main"}), (2, 10, {"name": "Side"})], "place_id long, way_id long, tags map<string,string>")
+    overrides = spark.createDataFrame([(1, "Main", "5"), (2, "Main", "9"), (2, "w10", "3")], "place_id long, key string, width string")
+    out = resolve.resolve_road_overrides(roads, overrides, ["width"])
+    assert sorted((r.place_id, r.way_id, r.tags["width"]) for r in out.collect()) == [(1, 10, "5"), (2, 10, "3"), (2, 20, "9")]
