@@ -265,6 +265,53 @@ def test_lines(spark, awkward):
     assert got[4].text == "" and got[5].text is None and got[15].text == "Same line that is here, twice today.\nshort" and got[15].n_removed == 2
 
 
+def test_lines_edit_distances_of_many():
+    rng = np.random.default_rng(14)
+    one = lambda n: bytes(rng.integers(97, 101, n).astype(np.uint8))
+    pairs = [(one(int(rng.integers(0, n))), one(int(rng.integers(0, n)))) for n in (2, 20, 70, 130, 400) for _ in range(60)]
+    pairs += [(one(n), one(m)) for n, m in ((0, 0), (0, 5), (63, 64), (64, 65), (128, 129), (2100, 2050))]
+    got = lines.edit_distances([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [lines.edit_distance(a, b) for a, b in pairs]
+
+
+def word_pairs(rng, words, changed):
+    """300 pairs of lines of random words, `changed(k)` of the second line's words with one letter changed."""
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, int(rng.integers(4, 8))))
+    out = []
+    for _ in range(300):
+        w = [word() for _ in range(words)]
+        v = list(w)
+        for k in changed(words):
+            at = int(rng.integers(0, len(v[k])))
+            v[k] = v[k][:at] + chr(97 + (ord(v[k][at]) - 96) % 26) + v[k][at + 1:]
+        out.append((" ".join(w), " ".join(v)))
+    return out
+
+
+@pytest.mark.parametrize("words,every,least", [(5, 0, 300), (6, 0, 300), (7, 0, 300), (7, 1, 300), (20, 5, 297), (40, 5, 297)])
+def test_lines_recall_by_length(spark, words, every, least):
+    """The middle word changed, or every n-th; all are similar by edit distance, however far apart by SimHash."""
+    pairs = word_pairs(np.random.default_rng(words), words, lambda n: range(0, n, every) if every else [n // 2])
+    pairs = [(a, b) for a, b in pairs if lines.edit_distance(a.encode(), b.encode()) <= 0.2 * len(a)]
+    docs = table(spark, [(k, f"{a}\n{b}") for k, (a, b) in enumerate(pairs)], "doc_id long, text string")
+    found = lines.dedupe_lines(docs).filter("n_removed = 1").count()
+    assert len(pairs) > 250 and found >= min(least, len(pairs) - (300 - least))
+
+
+def test_short_lines_are_compared_with_all(spark):
+    """All pairs by edit similarity alone, in blocks of a few lines; the length bound is met on both sides."""
+    rng, rows = np.random.default_rng(8), []
+    for k in range(40):
+        w = ["".join(chr(97 + c) for c in rng.integers(0, 6, 5)) for _ in range(5 + k % 5)]
+        rows += [(3 * k + j, " ".join(x if j == 0 or rng.random() < 0.6 else x[:2] + x[3:] if j == 1 else x[:3] + "q" + x[3:] for x in w)) for j in range(3)]
+    share, lines.SHARE = lines.SHARE, 3
+    try:
+        got = {r.doc_id: r.text for r in lines.dedupe_lines(table(spark, rows, "doc_id long, text string")).collect()}
+    finally:
+        lines.SHARE = share
+    assert [got[k] for k, _ in rows] == lines_by_hand(rows, apart=64)
+
+
 @pytest.mark.parametrize("width,block", [(8, 1 << 16), (1, 1 << 16), (1, 77), (8, 1000)])
 def test_planes(spark, awkward, documents, width, block):
     path = tokens.vocabulary()
