@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from placeloom.llm.blobs import column, text_bytes
+from placeloom.llm.blobs import column
 from placeloom.llm.store import stored
 from placeloom.llm.tokens import encoder
 
@@ -24,7 +24,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end: in
         task, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(vocabulary)
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(column(batch, "doc_id"), code.texts(text_bytes(batch), end)):
+            for doc_id, ids in zip(column(batch, "doc_id"), code.texts(batch.column(batch.schema.get_field_index("text")), end)):
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((doc_id, piece, start, len(part), part.tobytes(), task, seen[len(part)]))

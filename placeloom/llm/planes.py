@@ -9,7 +9,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from placeloom.llm.blobs import column, tasks, text_bytes
+from placeloom.llm.blobs import column, tasks
 from placeloom.llm.tokens import encoder
 
 CHUNK = "part int, chunk int, n_ids long, width int, planes array<binary>, doc_ids array<long>, lengths array<long>"
@@ -52,7 +52,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end: int = 2, block
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(column(batch, "doc_id"), code.texts(text_bytes(batch), end)):
+            for doc_id, ids in zip(column(batch, "doc_id"), code.texts(batch.column(batch.schema.get_field_index("text")), end)):
                 doc_ids.append(doc_id)
                 lengths.append(len(ids))
                 held.append(ids)

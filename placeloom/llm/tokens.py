@@ -2,22 +2,39 @@
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE = 400_000
+CHUNK = 4 << 20  # bytes of text split at once
 # The tokenizer cuts between a letter or digit and a mark that follows it, so a space there changes nothing and words repeat more often.
-BEFORE_MARK = re.compile(rb"(?<=[a-z0-9])(?=[.,!?;:|])")
+BEFORE_MARK = "([a-z0-9])([.,!?;:|])"
 
 
-def split(text: bytes | None) -> list[bytes]:
-    """Pieces of a text that the tokenizer encodes alike alone. It lower-cases, except for the names of its special tokens."""
-    if not text:
-        return []
-    return (text if b"<|" in text else BEFORE_MARK.sub(b" ", text.lower())).split()
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(pieces of all texts that the tokenizer encodes alike alone, how many each text has). It lower-cases, except for the names of its
+    special tokens: texts that may hold one are cut at white space only."""
+    special = pc.match_substring(texts, "<|")
+    lower = pc.replace_substring_regex(pc.ascii_lower(texts), BEFORE_MARK, r"\1 \2")
+    cut = pc.ascii_split_whitespace(pc.if_else(special, texts, lower))
+    flat, row = cut.flatten(), pc.list_parent_indices(cut)
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty piece
+    return flat.filter(full), np.bincount(row.filter(full).to_numpy(zero_copy_only=False), minlength=len(texts))
+
+
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Stretches of `texts` (NULL as empty) of about CHUNK bytes, or one longer text."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
 
 
 class Encoder:
@@ -31,16 +48,16 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
         self.flat, self.size = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > CACHE and self.known:
             self.clear()
         for k in range(0, len(words), 20_000):
             part = words[k:k + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int32, len(ids))
             new = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
             first, n = len(self.known), len(part)
@@ -54,17 +71,12 @@ class Encoder:
             self.size += len(new)
             self.known.update(zip(part, range(first, first + n)))
 
-    def texts(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
+    def texts(self, texts: pa.Array, end: int) -> list[np.ndarray]:
         """Ids of each text followed by the id `end`; a NULL text is an empty one."""
-        out, k = [], 0
-        while k < len(texts):
-            words, counts = [], []
-            while k < len(texts) and len(words) < 500_000:
-                got = split(texts[k])
-                words.extend(got)
-                counts.append(len(got))
-                k += 1
-            found = pa.array(words, pa.binary()).dictionary_encode()
+        out = []
+        for part in chunks(texts):
+            words, counts = pieces(part)
+            found = words.dictionary_encode()
             kinds = found.dictionary.to_pylist()
             at = [*map(self.known.get, kinds)]
             new = [w for w, n in zip(kinds, at) if n is None]
@@ -74,7 +86,7 @@ class Encoder:
                     new = kinds
                 self.learn(new)
                 at = [*map(self.known.get, kinds)]
-            place = np.array(at, np.int64)[found.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
+            place = np.array(at, np.int64)[found.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
             lengths = self.length[place].astype(np.int64)
             ends = np.cumsum(lengths)
             at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths) + np.repeat(self.start[place], lengths)

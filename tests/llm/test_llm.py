@@ -506,20 +506,6 @@ def test_lines_normalised_at_once():
         assert f"{int(got) & (1 << 64) - 1:064b}" == "".join("01"[2 * sum(b == "1" for b in bits) > len(line)] for bits in zip(*one))
 
 
-def test_least_shingles():
-    rng = np.random.default_rng(3)
-    counts = rng.integers(1, 9, 60)
-    hashes = rng.integers(0, 6, counts.sum()).astype(np.uint64)
-    first = np.cumsum(counts) - counts
-    got = np.array(lines.least_shingles(hashes, first, counts)).T
-    seen = {}
-    for row, i, n in zip(got, first, counts):
-        runs = {tuple(hashes[k:k + 3].tolist()) for k in range(i, i + max(1, n - 2))} if n >= 3 else {tuple(hashes[i:i + n].tolist())}
-        assert len(set(row)) == min(3, len(runs))
-        seen.setdefault(frozenset(runs), set()).add(frozenset(row.tolist()))
-    assert all(len(v) == 1 for v in seen.values())
-
-
 def test_near_lines_are_found(spark):
     """Lines of 8 to 60 words with a word or a tenth of the words other: all but a few pairs are found."""
     rng = np.random.default_rng(5)
@@ -537,8 +523,10 @@ def test_near_lines_are_found(spark):
 
 def test_lines_similar_is_exact():
     rng = np.random.default_rng(8)
+    left, right = [], []
     for _ in range(500):
         p = [b"abc"[: k + 1] * 2 for k in rng.integers(0, 3, int(rng.integers(1, 12)))]
-        q = [w if rng.random() < 0.8 else b"xyabc"[: int(rng.integers(1, 6))] for w in p][int(rng.integers(0, 2)) :]
-        a, b = b" ".join(p), b" ".join(q)
-        assert lines.similar(p, q, 0.8) == (lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+        left.append(p)
+        right.append([w if rng.random() < 0.8 else b"xyabc"[: int(rng.integers(1, 6))] for w in p][int(rng.integers(0, 2)) :])
+    near = [lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in ((b" ".join(p), b" ".join(q)) for p, q in zip(left, right))]
+    assert lines.similar_pairs(left, right, 0.8).tolist() == near
