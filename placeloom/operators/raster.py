@@ -10,10 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placeloom.functions import shapes as sh
 from placeloom.functions.scalars import hash_unit
 from placeloom.operators.joins import nearest_join, near_polygon_join, point_in_polygon_join, raster_sample
+from placeloom.operators.multigrid import fill_holes
 from placeloom.operators.windows import priority_resolve
-from placeloom.session import cut_lineage
-
-NEIGHBOURS = ((0, -1), (0, 1), (-1, 0), (1, 0))
 
 
 def centre(c: str, res: float) -> Column:
@@ -132,41 +130,17 @@ def wall_strips(strips: DataFrame, land: DataFrame, gates: DataFrame, footprints
 
 
 # ---------------------------------------------------------------- terrain (place_id, j, i, z)
-def _with_neighbours(grid: DataFrame) -> DataFrame:
-    """Each cell with the sum and count of its known neighbours: one explode and one aggregation, and only one reference
-    to the input, so rounds can be chained without the plan growing twofold each time."""
-    steps = F.array(*[F.struct(F.lit(dj).alias("dj"), F.lit(di).alias("di")) for dj, di in ((0, 0), *NEIGHBOURS)])
-    sent = grid.select("place_id", "j", "i", "z", "hole", F.explode(steps).alias("_s"))
-    own = (F.col("_s.dj") == 0) & (F.col("_s.di") == 0)
-    rows = sent.select("place_id", (F.col("j") + F.col("_s.dj")).alias("j"), (F.col("i") + F.col("_s.di")).alias("i"), F.when(own, F.col("z")).alias("z"), (own & F.col("hole")).alias("hole"),
-                       own.alias("_own"), F.when(~own, F.col("z")).alias("_v"))
-    return rows.groupBy("place_id", "j", "i").agg(F.max("z").alias("z"), F.bool_or("hole").alias("hole"), F.bool_or("_own").alias("_own"), F.sum("_v").alias("_sum"),
-                                                  F.count("_v").alias("_n")).filter("_own").drop("_own")
-
-
-def raster_mask_fill(raster: DataFrame, relax: int, cut_every: int = 8) -> DataFrame:
-    """Holes (NULL) grow from the mean of their known neighbours, then `relax` rounds of averaging smooth them.
-
-    Each round is one aggregation on the cell; lineage is cut by a reliable checkpoint. Growth ends when a round fills
-    nothing (a place without any height stays NULL)."""
-    columns = ["place_id", "j", "i", "z", "hole"]
-    grid = cut_lineage(raster.select("place_id", "j", "i", "z", F.col("z").isNull().alias("hole")))
-    missing = grid.filter("z IS NULL").count()
-    while missing:
-        grown = _with_neighbours(grid).withColumn("z", F.coalesce("z", F.col("_sum") / F.nullif(F.col("_n"), F.lit(0))))
-        grid = cut_lineage(grown.select(*columns))
-        left = grid.filter("z IS NULL").count()
-        if left == missing:
-            break
-        missing = left
-    for k in range(relax):
-        # Past the border the cell stands in for its missing neighbour.
-        around = _with_neighbours(grid)
-        mean = (F.coalesce("_sum", F.lit(0.0)) + (4 - F.col("_n")) * F.col("z")) / 4
-        grid = around.withColumn("z", F.when(F.col("hole"), mean).otherwise(F.col("z"))).select(*columns)
-        if (k + 1) % cut_every == 0:
-            grid = cut_lineage(grid)
-    return grid
+def terrain_mask(nodes: DataFrame, footprints: DataFrame, forests: DataFrame, wet: DataFrame, margin: float, cell: float) -> DataFrame:
+    """Raster nodes (place_id, j, i, x, y) whose surface height isn't the ground's: within `margin` of a footprint or a forest and not wet."""
+    grid = ["place_id", "j", "i"]
+    near = lambda polygons: near_polygon_join(nodes, polygons, margin, cell, "left_semi", grid).select(*grid)
+    return near(footprints).unionByName(near(forests)).distinct().join(wet.select(*grid), grid, "left_anti")
+
+
+def raster_mask_fill(raster: DataFrame, tolerance: float = 1e-4, tile: int = 96, halo: int = 16) -> DataFrame:
+    """Holes (NULL) as the smoothest continuation of what surrounds them, settled to `tolerance` at any width (place_id, j, i, z, hole);
+    past the border a cell stands in for its missing neighbour. A place without any height stays NULL."""
+    return fill_holes(raster, tolerance, tile, halo)
 
 
 def terrain_datum(raster: DataFrame, wet: DataFrame, reference: DataFrame, scale: float = 1.0, water_z: float = 0.0) -> DataFrame:
@@ -209,7 +183,7 @@ def outskirts_class(cells: DataFrame, half: float, flat_slope: float = 0.035, lo
     return beyond.withColumn("kind", F.when((F.col("slope") < flat_slope) & (F.col("d") < low), "field").otherwise("forest"))
 
 
-def terrain_dsm_dtm(raster: DataFrame, mask: DataFrame, surface: bool, relax: int = 16, radius: int = 5) -> DataFrame:
+def terrain_dsm_dtm(raster: DataFrame, mask: DataFrame, surface: bool, radius: int = 5) -> DataFrame:
     """Bare ground: a ground model is blurred lightly; a surface model loses masked cells (buildings, forest), is filled,
     opened and blurred."""
     from placeloom.operators.windows import raster_blur, raster_open
@@ -217,7 +191,7 @@ def terrain_dsm_dtm(raster: DataFrame, mask: DataFrame, surface: bool, relax: in
         return raster_blur(raster.select("place_id", "j", "i", "z"), 0.6)
     cut = raster.join(mask.select("place_id", "j", "i").withColumn("_m", F.lit(True)), ["place_id", "j", "i"], "left")
     holes = cut.select("place_id", "j", "i", F.when(F.col("_m").isNull(), F.col("z")).alias("z"))
-    return raster_blur(raster_open(raster_mask_fill(holes, relax).select("place_id", "j", "i", "z"), radius), 2.0)
+    return raster_blur(raster_open(raster_mask_fill(holes).select("place_id", "j", "i", "z"), radius), 2.0)
 
 
 def building_base(corners: DataFrame, raster: DataFrame, x0: float, y0: float, step: float, ni: int, nj: int) -> DataFrame:

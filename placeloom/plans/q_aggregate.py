@@ -261,38 +261,36 @@ def filled(t):
 FILLED = "(SELECT place_id, j, i, coalesce(z, 1500.0) AS z FROM f_raster)"
 
 
-def _blur_sql(sigma):
+def blur_sql(rel, sigma):
+    """Two passes over each column and row as they are in `rel` (a FROM item): past an end its end value, at a hole the cell's own."""
     k = win.kernel(sigma)
     r = len(k) // 2
-    w = ", ".join(f"({d}, {v!r}::DOUBLE)" for d, v in zip(range(-r, r + 1), k))
-    return f"""WITH f AS (SELECT * FROM {FILLED} f), w(d, k) AS (VALUES {w}),
-      c AS (SELECT a.place_id, a.j, a.i, sum(w.k * b.z) AS z FROM f a CROSS JOIN w JOIN f b ON b.place_id = a.place_id AND b.i = a.i AND b.j = least(greatest(a.j + w.d, 0), 24) GROUP BY 1, 2, 3)
-      SELECT a.place_id, a.j, a.i, CAST(floor(sum(w.k * b.z) * 1000 + 0.5) AS BIGINT) AS z_e3 FROM c a CROSS JOIN w JOIN c b ON b.place_id = a.place_id AND b.j = a.j AND b.i = least(greatest(a.i + w.d, 0), 23) GROUP BY 1, 2, 3"""
+    w = "(VALUES " + ", ".join(f"({d}, {v!r}::DOUBLE)" for d, v in zip(range(-r, r + 1), k)) + ") w(d, k)"
 
+    def once(rel, along, across):
+        return f"""(SELECT a.place_id, a.j, a.i, CASE WHEN count(coalesce(b.z, a.z)) = {len(k)} THEN sum(w.k * coalesce(b.z, a.z)) END AS z FROM {rel} a JOIN (SELECT place_id, {across}, min({along}) AS lo, max({along}) AS hi FROM {rel} x GROUP BY 1, 2) c
+          ON c.place_id = a.place_id AND c.{across} = a.{across} CROSS JOIN {w} JOIN {rel} b ON b.place_id = a.place_id AND b.{across} = a.{across} AND b.{along} = least(greatest(a.{along} + w.d, c.lo), c.hi) GROUP BY 1, 2, 3)"""
+    return once(once(rel, "j", "i"), "i", "j")
 
-FULL = "place_id IN (SELECT place_id FROM f_raster GROUP BY place_id HAVING count(*) = 600)"
 
+def open_sql(rel, radius):
+    """Least, then greatest over the chords of a disk, each chord as far as its row goes."""
+    chords = "(VALUES " + ", ".join(f"({d}, {int((radius * radius + 0.5 - d * d) ** 0.5)})" for d in range(-radius, radius + 1)) + ") d(a, w)"
 
-@query("raster_blur", "SELECT * FROM (" + _blur_sql(2.0) + f") b WHERE {FULL}")
-def _(t):
-    return whole_grids(t, win.raster_blur(filled(t), 2.0)).select("place_id", "j", "i", half_up(F.col("z") * 1000).alias("z_e3"))
-
+    def once(rel, agg):
+        return f"""(SELECT x.place_id, x.j, x.i, {agg}(y.z) AS z FROM {rel} x JOIN (SELECT place_id, i, min(j) AS lo, max(j) AS hi FROM {rel} q GROUP BY 1, 2) c ON c.place_id = x.place_id AND c.i = x.i CROSS JOIN {chords}
+          JOIN {rel} y ON y.place_id = x.place_id AND y.j = least(greatest(x.j + d.a, c.lo), c.hi) AND y.i BETWEEN x.i - d.w AND x.i + d.w GROUP BY 1, 2, 3)"""
+    return once(once(rel, "min"), "max")
 
-def whole_grids(t, df):
-    """Rows of complete 24 x 25 grids (at the smallest scale the last place has only part of one)."""
-    return df.join(t.f_raster.groupBy("place_id").agg(F.count("*").alias("n")).filter("n = 600"), "place_id", "left_semi")
 
-
-def _disk(r):
-    return ", ".join(f"({a}, {c})" for a in range(-r, r + 1) for c in range(-r, r + 1) if a * a + c * c <= r * r + 0.5)
+@query("raster_blur", f"SELECT place_id, j, i, {b('z * 1000', 'z_e3')} FROM {blur_sql('f_raster', 2.0)} z")
+def _(t):
+    return win.raster_blur(t.f_raster, 2.0).select("place_id", "j", "i", half_up(F.col("z") * 1000).alias("z_e3"))
 
 
-@query("raster_open", f"""WITH f AS (SELECT * FROM {FILLED} f), d(a, b) AS (VALUES {_disk(3)}),
-  lo AS (SELECT x.place_id, x.j, x.i, min(y.z) AS z FROM f x CROSS JOIN d JOIN f y ON y.place_id = x.place_id AND y.j = least(greatest(x.j + a, 0), 24) AND y.i = least(greatest(x.i + b, 0), 23) GROUP BY 1, 2, 3),
-  hi AS (SELECT x.place_id, x.j, x.i, max(y.z) AS z FROM lo x CROSS JOIN d JOIN lo y ON y.place_id = x.place_id AND y.j = least(greatest(x.j + a, 0), 24) AND y.i = least(greatest(x.i + b, 0), 23) GROUP BY 1, 2, 3)
-  SELECT place_id, j, i, CAST(z AS BIGINT) AS z FROM hi WHERE {FULL}""")
+@query("raster_open", f"SELECT place_id, j, i, CAST(z AS BIGINT) AS z FROM {open_sql('f_raster', 5)} z")
 def _(t):
-    return whole_grids(t, win.raster_open(filled(t), 3)).select("place_id", "j", "i", F.col("z").cast("bigint").alias("z"))
+    return win.raster_open(t.f_raster, 5).select("place_id", "j", "i", F.col("z").cast("bigint").alias("z"))
 
 
 SLOPE = f"""(SELECT c.place_id, c.j, c.i, sqrt(pow((coalesce(e.z, c.z) - coalesce(w.z, c.z)) / CASE WHEN e.z IS NULL OR w.z IS NULL THEN 4500 ELSE 9000 END, 2) + pow((coalesce(n.z, c.z) - coalesce(s.z, c.z)) / CASE WHEN n.z IS NULL OR s.z IS NULL THEN 4500 ELSE 9000 END, 2)) AS slope, c.z

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from placeloom.functions import shapes as sh
 from placeloom.functions.scalars import half_up
-from placeloom.operators import geometry as geo, joins
+from placeloom.operators import geometry as geo, joins, rings
 from placeloom.plans.registry import query
 from placeloom.plans.views import CHUNK, HALF
 
@@ -205,10 +205,27 @@ def _(t):
     halves = lambda r: F.array(F.slice(closed(r), 1, 3), F.reverse(F.slice(closed(r), F.lit(3), F.size(r))))
     first, second = F.get("rings", F.lit(0)), F.get("rings", F.lit(1))
     rel = t.polygons.select("b_id", halves(first).alias("outer"), F.when(second.isNotNull(), halves(second)).alias("inner"))
-    out = geo.orient_rings(geo.stitch_rings(rel))
+    out = geo.orient_rings(rings.stitch_rings(rel, ["b_id"]))
     return out.select("b_id", F.size("rings").alias("rings"), "closed", half_up(sh.signed_area(sh.polygon_edges(F.col("rings")))).alias("area"))
 
 
+# Each edge of an outline is a member line, in another order, every other one the other way round; a relation holds the lines of all its rings.
+EDGE_LINES = """(SELECT place_id, b_id, (ring * 10 + seq) * 7 % 23 AS line, CASE WHEN (b_id + seq) % 2 = 0 THEN x1 ELSE x2 END AS xa, CASE WHEN (b_id + seq) % 2 = 0 THEN y1 ELSE y2 END AS ya,
+  CASE WHEN (b_id + seq) % 2 = 0 THEN x2 ELSE x1 END AS xb, CASE WHEN (b_id + seq) % 2 = 0 THEN y2 ELSE y1 END AS yb FROM f_bedges)"""
+
+
+@query("ring_members", f"""WITH RECURSIVE e AS (SELECT * FROM {EDGE_LINES} l), w AS (SELECT b_id, line AS start, line, false AS rev, 0 AS pos, xb AS ex, yb AS ey FROM e
+    UNION ALL SELECT w.b_id, w.start, n.line, n.xb = ex AND n.yb = ey, pos + 1, CASE WHEN n.xb = ex AND n.yb = ey THEN n.xa ELSE n.xb END, CASE WHEN n.xb = ex AND n.yb = ey THEN n.ya ELSE n.yb END
+    FROM w JOIN e n ON n.b_id = w.b_id AND n.line <> w.line AND n.line <> w.start AND (n.xa = ex AND n.ya = ey OR n.xb = ex AND n.yb = ey)),
+  low AS (SELECT b_id, start FROM w GROUP BY b_id, start HAVING min(line) = start)
+  SELECT b_id, CAST(start AS BIGINT) AS ring, CAST(pos AS BIGINT) AS pos, CAST(line AS BIGINT) AS line, rev AS reversed FROM w SEMI JOIN low USING (b_id, start)""")
+def _(t):
+    e = t.f_bedges.withColumn("line", (F.col("ring") * 10 + F.col("seq")) * 7 % 23)
+    ends = F.array(*[F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (1, 2)])
+    members = e.select("place_id", "b_id", "line", F.when((F.col("b_id") + F.col("seq")) % 2 == 0, ends).otherwise(F.reverse(ends)).alias("pts"))
+    return rings.ring_members(members, ["place_id", "b_id"]).select("b_id", "ring", "pos", "line", "reversed")
+
+
 @query("boundary_segments", f"""SELECT b_id, CAST(ring AS INTEGER) AS ring, CAST(seq AS INTEGER) AS seq FROM f_bedges e WHERE NOT EXISTS (SELECT 1 FROM f_areas a WHERE a.class = 3 AND a.place_id = e.place_id
     AND (x1 + x2) / 2 >= a.xmin AND (x1 + x2) / 2 < a.xmax AND (y1 + y2) / 2 >= a.ymin AND (y1 + y2) / 2 < a.ymax)
   AND abs(x1 + x2) / 2 < {HALF} - 5 AND abs(y1 + y2) / 2 < {HALF} - 5""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from placeloom.functions import catalogs as cat, shapes as sh
 from placeloom.functions.scalars import half_up
 from placeloom.operators import classify, geometry as geo, joins, raster as ras, windows as win
-from placeloom.plans.q_aggregate import FILLED, SLOPE, b, filled
+from placeloom.plans.q_aggregate import FILLED, SLOPE, b, blur_sql, filled, open_sql
 from placeloom.plans.q_classify import BUILT, STRATUM
 from placeloom.plans.q_derive import KX, KY, h_sql, places
 from placeloom.plans.q_joins import IN_AREA, NEAREST, SAMPLE, areas, buildings, d2_sql, poly_dist_sql, roads
@@ -172,10 +172,28 @@ def _(t):
 
 
 # ---------------------------------------------------------------- terrain
-@query("raster_mask_fill")
+MARGIN = 400.0  # cm round footprints and forests
+NODES = "(SELECT *, i * 4500 - 52000 AS x, j * 4500 - 52000 AS y, place_id * 1000 + j * 24 + i AS nid FROM f_raster)"
+MASKED = f"""(SELECT place_id, j, i, CASE WHEN z >= 500 AND (nid IN (SELECT nid FROM {poly_dist_sql(NODES, ['nid'])} d WHERE inside OR d2 <= {MARGIN * MARGIN})
+    OR EXISTS (SELECT 1 FROM f_areas a WHERE a.place_id = n.place_id AND a.class IN (6, 7, 8) AND pow(greatest(xmin - n.x, n.x - xmax, 0), 2) + pow(greatest(ymin - n.y, n.y - ymax, 0), 2) <= {MARGIN * MARGIN})) THEN NULL ELSE z END AS z FROM {NODES} n)"""
+# Relaxation until nothing moves, one list of heights a place; the rows of a place are whole but for its last one.
+FILL = f"""m AS MATERIALIZED (SELECT * FROM {MASKED} q), g AS (SELECT place_id, list(z ORDER BY j * 24 + i) AS z0, list(j ORDER BY j * 24 + i) AS js, list(i ORDER BY j * 24 + i) AS ins, avg(z) AS mean FROM m GROUP BY place_id),
+  it AS (SELECT place_id, z0, list_transform(z0, lambda v: coalesce(v, mean)) AS z, 0 AS k FROM g UNION ALL SELECT place_id, z0, list_transform(range(1, len(z) + 1), lambda p: CASE WHEN z0[p] IS NOT NULL THEN z0[p]
+    ELSE (CASE WHEN p % 24 = 1 THEN z[p] ELSE z[p - 1] END + CASE WHEN p % 24 = 0 THEN z[p] ELSE coalesce(z[p + 1], z[p]) END + CASE WHEN p <= 24 THEN z[p] ELSE z[p - 24] END + coalesce(z[p + 24], z[p])) / 4 END), k + 1 FROM it WHERE k < 1200),
+  fl AS MATERIALIZED (SELECT place_id, unnest(js) AS j, unnest(ins) AS i, unnest(it.z) AS z, unnest(g.z0) IS NULL AS hole FROM g JOIN it USING (place_id) WHERE k = 1200)"""
+
+
+def masked(t):
+    """Surface heights without nodes at footprints and forests, and the nodes left out."""
+    nodes = t.f_raster.withColumns({"x": F.col("i") * 4500.0 - 52000, "y": F.col("j") * 4500.0 - 52000})
+    return ras.terrain_mask(nodes, buildings(t), areas(t, "class IN (6, 7, 8)"), wet(t), MARGIN, CHUNK)
+
+
+@query("raster_mask_fill", f"WITH RECURSIVE {FILL} SELECT place_id, j, i, hole, {b('z * 10', 'z_e1')} FROM fl")
 def _(t):
-    out = ras.raster_mask_fill(t.f_raster, 4, cut_every=4)
-    return out.select("place_id", "j", "i", "hole", half_up(F.col("z") * 1000).alias("z_e3"))
+    cut = t.f_raster.join(masked(t).withColumn("_m", F.lit(True)), ["place_id", "j", "i"], "left")
+    out = ras.raster_mask_fill(cut.select("place_id", "j", "i", F.when(F.col("_m").isNull(), F.col("z")).alias("z")))
+    return out.select("place_id", "j", "i", "hole", half_up(F.col("z") * 10).alias("z_e1"))
 
 
 WET = "(SELECT place_id, j, i FROM f_raster WHERE z < 500)"
@@ -233,12 +251,12 @@ def _(t):
     return ras.outskirts_class(s, 40000.0, 0.15, 2000.0).select("place_id", "j", "i", "kind")
 
 
-@query("terrain_dsm_dtm")
+@query("terrain_dsm_dtm", f"""WITH RECURSIVE {FILL}, op AS MATERIALIZED (SELECT * FROM {open_sql('fl', 5)} o) SELECT 'dsm' AS kind, place_id, j, i, {b('z * 10', 'z_e1')} FROM {blur_sql('op', 2.0)} s
+  UNION ALL SELECT 'dtm', place_id, j, i, {b('z * 10', 'z_e1')} FROM {blur_sql('f_raster', 0.6)} g""")
 def _(t):
-    mask = t.f_raster.filter("pmod(j * 24 + i, 11) < 2").select("place_id", "j", "i")
-    dsm = ras.terrain_dsm_dtm(t.f_raster, mask, True, relax=2, radius=2).withColumn("kind", F.lit("dsm"))
-    dtm = ras.terrain_dsm_dtm(filled(t), mask, False).withColumn("kind", F.lit("dtm"))
-    return dsm.select("kind", "place_id", "j", "i", half_up(F.col("z") * 100).alias("z_e2")).unionByName(dtm.select("kind", "place_id", "j", "i", half_up(F.col("z") * 100).alias("z_e2")))
+    mask = masked(t)
+    rows = lambda surface: ras.terrain_dsm_dtm(t.f_raster, mask, surface).select(F.lit("dsm" if surface else "dtm").alias("kind"), "place_id", "j", "i", half_up(F.col("z") * 10).alias("z_e1"))
+    return rows(True).unionByName(rows(False))
 
 
 @query("building_base", f"SELECT b_id, {b('(min(height) + 0.55::DOUBLE * (max(height) - min(height))) * 10', 'base_mm')}, {b('min(height) * 10', 'base_min_mm')} FROM {SAMPLE.replace('{points}', '(SELECT * FROM f_bverts WHERE ring = 0)')} s GROUP BY b_id")

@@ -50,7 +50,7 @@ def test_shortest_paths_and_routes(spark):
 def test_fill_and_blur_keep_a_constant(spark):
     rows = [(0, j, i, None if (i, j) in ((3, 3), (3, 4), (0, 0)) else 7.0) for j in range(8) for i in range(8)]
     df = spark.createDataFrame(rows, "place_id int, j int, i int, z double")
-    out = windows.raster_blur(raster.raster_mask_fill(df, 3).select("place_id", "j", "i", "z"), 1.0)
+    out = windows.raster_blur(raster.raster_mask_fill(df).select("place_id", "j", "i", "z"), 1.0)
     assert all(abs(r.z - 7.0) < 1e-9 for r in out.collect()) and out.count() == 64
 
 
