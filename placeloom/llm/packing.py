@@ -13,6 +13,7 @@ from placeloom.llm.store import stored
 from placeloom.llm.tokens import encoder
 
 RANKS = 1 << 48
+WORDS = 1_000_000  # words whose ids a Python worker keeps, about 200 bytes each
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end: int = 1) -> DataFrame:
@@ -21,7 +22,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end: in
     names = ["doc_id", "piece", "start", "length", "ids", "_p", "_nth"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(vocabulary)
+        task, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(vocabulary, WORDS)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(column(batch, "doc_id"), code.texts(batch.column(batch.schema.get_field_index("text")), end)):

@@ -39,9 +39,10 @@ def chunks(texts: pa.Array) -> Iterator[pa.Array]:
 
 class Encoder:
     """Ids of texts. The tokenizer drops white space and never joins words across it, so each distinct word is encoded once and texts
-    are put together from the words' ids (tests hold this against encoding whole texts). Known words are kept, up to CACHE."""
+    are put together from the words' ids (tests hold this against encoding whole texts). Known words are kept, up to `cache`."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cache: int = CACHE) -> None:
+        self.cache = cache
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,7 +54,7 @@ class Encoder:
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
 
     def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE and self.known:
+        if len(self.known) + len(words) > self.cache and self.known:
             self.clear()
         for k in range(0, len(words), 20_000):
             part = words[k:k + 20_000]
@@ -81,7 +82,7 @@ class Encoder:
             at = [*map(self.known.get, kinds)]
             new = [w for w, n in zip(kinds, at) if n is None]
             if new:
-                if len(self.known) + len(new) > CACHE:
+                if len(self.known) + len(new) > self.cache:
                     self.clear()
                     new = kinds
                 self.learn(new)
@@ -97,14 +98,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache: int = CACHE) -> Encoder:
     """The process's encoder of a vocabulary file; a Python worker keeps it from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS[path, cache] = Encoder(path, cache)
+    return _ENCODERS[path, cache]
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
