@@ -121,36 +121,101 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.join(roots, ["place_id", "v"], "left").select("place_id", "v", F.coalesce("root", "v").alias("component"))
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, min_width: float | None = None, blocked: DataFrame | None = None) -> DataFrame:
-    """Least length from every source to every vertex it reaches (route_id, v, dist, hops, parent): frontier relaxation for
-    all sources at once. Only vertices improved in a round travel in the next one. `sources(place_id, route_id, v)`."""
+def contract_chains(steps: DataFrame, keep: DataFrame) -> DataFrame:
+    """(place_id, v, w, far, last, length, hops) for every step v -> w of `steps(place_id, v, w, length)`: where it leads when vertices of two
+    neighbours are passed through, `last` being the vertex before `far`. `keep(place_id, v)` aren't passed through. By pointer doubling: log rounds of the longest
+    chain. Steps into a circle without any vertex to stop at lead nowhere and are left out."""
+    sides = steps.groupBy("place_id", "v").agg(F.count("*").alias("n"), F.sum("w").alias("both"))
+    inner = cut_lineage(sides.filter("n = 2").join(keep.select("place_id", "v").distinct(), ["place_id", "v"], "left_anti").select("place_id", F.col("v").alias("w"), "both"))
+    on = steps.join(inner, ["place_id", "w"], "left")
+    # The span of a step ends at `far`; from there it goes on to `ahead`, the neighbour it doesn't come from.
+    state = cut_lineage(on.select("place_id", "v", "w", F.col("w").alias("far"), F.col("v").alias("last"), (F.col("both") - F.col("v")).alias("ahead"), "length", F.lit(1).cast("long").alias("hops")))
+    left = state.filter("ahead IS NOT NULL").count()
+    while left:
+        more = state.select("place_id", F.col("v").alias("far"), F.col("w").alias("ahead"), *[F.col(c).alias(f"_{c}") for c in ("far", "last", "ahead", "length", "hops")], F.lit(True).alias("_on"))
+        moved = state.join(more, ["place_id", "far", "ahead"], "left")
+        pick = lambda c: F.when(F.col("_on"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+        state = cut_lineage(moved.select("place_id", "v", "w", pick("far"), pick("last"), pick("ahead"), *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in ("length", "hops")]))
+        # Each round some steps of every chain arrive; when none does, only circles are left.
+        now = state.filter("ahead IS NOT NULL").count()
+        if now == left:
+            break
+        left = now
+    return state.filter("ahead IS NULL").drop("ahead")
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, min_width: float | None = None, blocked: DataFrame | None = None, merge_every: int = 8) -> DataFrame:
+    """Least length from every source to every vertex it reaches (route_id, v, dist, hops, parent); of equal lengths the fewest hops, then the lowest
+    parent. `sources(place_id, route_id, v)`.
+
+    Chains are contracted first, then all sources advance at once over what is left: only vertices improved in a round travel in the next, and only they
+    are written; what is known is the base table and those small ones, put together every few rounds. Vertices inside chains take the better of both ends."""
     usable = edges if min_width is None else edges.filter(F.col("width") >= min_width)
     if blocked is not None:
         usable = usable.join(blocked.select("place_id", "a", "b"), ["place_id", "a", "b"], "left_anti")
-    steps = cut_lineage(usable.select("place_id", F.col("a").alias("v"), F.col("b").alias("w"), "length").unionByName(usable.select("place_id", F.col("b").alias("v"), F.col("a").alias("w"), "length")))
-    known = cut_lineage(sources.select("place_id", "route_id", "v", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"), F.lit(None).cast("bigint").alias("parent"), F.lit(True).alias("fresh")))
-    best = F.struct("dist", "hops", F.coalesce("parent", F.lit(-1)).alias("parent"), "fresh")
+    ways = usable.select("place_id", F.col("a").alias("v"), F.col("b").alias("w"), "length").unionByName(usable.select("place_id", F.col("b").alias("v"), F.col("a").alias("w"), "length"))
+    legs = contract_chains(cut_lineage(ways.filter("v <> w").groupBy("place_id", "v", "w").agg(F.min("length").alias("length"))), sources)
+    stops = legs.select("place_id", F.col("far").alias("v")).unionByName(sources.select("place_id", "v")).distinct()
+    core = cut_lineage(legs.join(stops, ["place_id", "v"], "left_semi").filter("v <> far").select("place_id", "v", "far", "last", "length", "hops"))
+    inside = legs.join(stops, ["place_id", "v"], "left_anti")
+
+    key, label = ["place_id", "route_id", "v"], F.struct("dist", "hops", F.coalesce("parent", F.lit(-1)).alias("parent"))
+    least = lambda df: df.groupBy(*key).agg(F.min(label).alias("m")).select(*key, "m.dist", "m.hops", F.nullif(F.col("m.parent"), F.lit(-1)).alias("parent"))
+
+    def offers(known: DataFrame, over: DataFrame, parent: str) -> DataFrame:
+        at = known.select("place_id", "route_id", F.col("v").alias("_from"), F.col("dist").alias("_d"), F.col("hops").alias("_h"))
+        met = at.join(over, ["place_id", "_from"])
+        return met.select("place_id", "route_id", F.col("_to").alias("v"), (F.col("_d") + F.col("length")).alias("dist"), (F.col("_h") + F.col("hops")).alias("hops"), F.col(parent).alias("parent"))
+
+    forward = core.withColumnsRenamed({"v": "_from", "far": "_to"})
+    base = cut_lineage(sources.select(*key, F.lit(0.0).alias("dist"), F.lit(0).cast("long").alias("hops"), F.lit(None).cast("long").alias("parent")))
+    fresh, written = base, []
     while True:
-        offers = known.filter("fresh").join(steps, ["place_id", "v"]).select("place_id", "route_id", F.col("w").alias("v"), (F.col("dist") + F.col("length")).alias("dist"), (F.col("hops") + 1).alias("hops"),
-                                                                              F.col("v").alias("parent"), F.lit(True).alias("fresh"))
-        # `fresh` sorts last: on equal offers the old row (false) is kept and the vertex rests.
-        merged = known.withColumn("fresh", F.lit(False)).unionByName(offers).groupBy("place_id", "route_id", "v").agg(F.min(best).alias("b"))
-        known = cut_lineage(merged.select("place_id", "route_id", "v", "b.dist", "b.hops", F.nullif(F.col("b.parent"), F.lit(-1)).alias("parent"), "b.fresh"))
-        if known.filter("fresh").isEmpty():
+        known = base
+        for table in written:
+            known = known.unionByName(table)
+        # One aggregation sets the offers of a vertex against what is known of it.
+        rows = known.withColumn("_new", F.lit(False)).unionByName(offers(fresh, forward, "last").withColumn("_new", F.lit(True)))
+        both = rows.groupBy(*key).agg(F.min(F.when(~F.col("_new"), label)).alias("had"), F.min(F.when(F.col("_new"), label)).alias("m"))
+        better = both.filter("m IS NOT NULL AND (had IS NULL OR m < had)").select(*key, "m.dist", "m.hops", F.nullif(F.col("m.parent"), F.lit(-1)).alias("parent"))
+        fresh = cut_lineage(better)
+        if fresh.isEmpty():
             break
-    return known.drop("fresh")
+        written.append(fresh)
+        if len(written) >= merge_every:
+            base, written = cut_lineage(least(known.unionByName(fresh))), []
+    reached = cut_lineage(least(known))
+    return reached.unionByName(least(offers(reached, inside.withColumnsRenamed({"far": "_from", "v": "_to"}), "w")))
 
 
 def routes(paths: DataFrame, targets: DataFrame) -> DataFrame:
-    """Vertices of each route from its target back to its source (route_id, v, hops), walked back over the parent column,
-    all routes at once. `targets(place_id, route_id, v)`."""
-    at = cut_lineage(targets.join(paths, ["place_id", "route_id", "v"]).select("place_id", "route_id", "v", "hops", "dist", "parent"))
-    out = at
-    while not at.filter("parent IS NOT NULL").isEmpty():
-        back = at.filter("parent IS NOT NULL").select("place_id", "route_id", F.col("parent").alias("v"))
-        at = cut_lineage(back.join(paths, ["place_id", "route_id", "v"]).select("place_id", "route_id", "v", "hops", "dist", "parent"))
-        out = out.unionByName(at)
-    return out
+    """Vertices of each route from its target back to its source (route_id, v, hops, dist, parent), by binary lifting over `parent`: log rounds of the most
+    hops, all routes at once. `targets(place_id, route_id, v)`."""
+    key = ["place_id", "route_id"]
+    tree = paths.join(targets.select(*key, F.col("v").alias("_t")), key)
+    # Only vertices nearer than the target can lie on its route.
+    end = targets.join(paths, [*key, "v"]).select(*key, F.col("hops").alias("_most"))
+    near = cut_lineage(tree.join(end, key).filter(F.col("hops") <= F.col("_most")).select(*key, "v", "parent", "hops").distinct())
+    most = near.agg(F.max("hops")).first()[0] or 0
+    lifts = [near.filter("parent IS NOT NULL").select(*key, "v", F.col("parent").alias("up"))]
+    while 2 ** len(lifts) <= most:
+        last = lifts[-1]
+        lifts.append(cut_lineage(last.join(last.select(*key, F.col("v").alias("up"), F.col("up").alias("_u")), [*key, "up"]).select(*key, "v", F.col("_u").alias("up"))))
+    on = cut_lineage(targets.select(*key, "v").join(paths.select(*key, "v"), [*key, "v"], "left_semi"))
+    for lift in reversed(lifts):
+        on = cut_lineage(on.unionByName(on.join(lift, [*key, "v"]).select(*key, F.col("up").alias("v"))))
+    return on.join(paths, [*key, "v"]).select(*key, "v", "hops", "dist", "parent")
+
+
+def route_summary(route: DataFrame, edges: DataFrame) -> DataFrame:
+    """(place_id, route_id, source, target, length, junctions, roads): of each route of `routes` its ends, its length, the junctions it passes and how many
+    roads it takes one after the other, as the `way_id` of `edges(place_id, a, b, way_id)` has it."""
+    from placeloom.operators.scale import with_next
+    key = ["place_id", "route_id"]
+    legs = route.filter("parent IS NOT NULL").withColumns({"a": F.least("v", "parent"), "b": F.greatest("v", "parent")}).join(edges.select("place_id", "a", "b", "way_id"), ["place_id", "a", "b"])
+    turns = with_next(legs.select(*key, "hops", "way_id"), key, "hops", ["way_id"]).filter("way_id <> next_way_id").groupBy(*key).agg(F.count("*").alias("turns"))
+    whole = route.groupBy(*key).agg(F.min_by("v", "hops").alias("source"), F.max_by("v", "hops").alias("target"), F.max("dist").alias("length"), F.count("*").alias("junctions"))
+    return whole.join(turns, key, "left").select(*key, "source", "target", "length", "junctions", F.when(F.col("junctions") > 1, F.coalesce("turns", F.lit(0)) + 1).otherwise(0).alias("roads"))
 
 
 def graph_summary(vertices: DataFrame, edges: DataFrame, components: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from placeloom.plans.q_derive import Z_LAYER
 from placeloom.plans.q_joins import MEET, buildings, poly_dist_sql
 from placeloom.plans.registry import query
 from placeloom.plans.views import CHUNK, HALF
+from placeloom.session import cut_lineage
 
 LEVEL_TAGS = ["layer", "bridge", "tunnel", "covered", "level"]
 
@@ -117,7 +118,7 @@ def _(t):
     SELECT bf.place_id, e.v, bf.dist + e.length AS dist, bf.k + 1 AS k FROM bf JOIN e ON e.place_id = bf.place_id AND e.u = bf.v WHERE bf.k < 300) z GROUP BY z.place_id, z.v, z.k) q)
   SELECT place_id, v, {b('min(dist) * 10', 'dist_mm')} FROM bf GROUP BY place_id, v""")
 def _(t):
-    g = junction_graph(t)
+    g = cut_lineage(junction_graph(t))
     return graph.shortest_paths(g, hub(g)).select("place_id", "v", half_up(F.col("dist") * 10).alias("dist_mm"))
 
 
@@ -127,9 +128,42 @@ def hub(g):
     return degree.groupBy("place_id").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v")).withColumn("route_id", F.lit(0))
 
 
-@query("routes")
+# A route per place: from the junction nearest the lower left corner to the one nearest the upper right, both in the largest component. Lengths in whole
+# millimetres, so that sums are exact and equal ways are told apart by hops and the lowest vertex before.
+WHOLE = f"(SELECT g.place_id, a, b, floor(length * 10 + 0.5) AS length, way_id FROM (SELECT place_id, a, b, length, arg_min(way_id, {{'l': length, 'w': way_id}}) OVER (PARTITION BY place_id, a, b) AS way_id, row_number() OVER (PARTITION BY place_id, a, b ORDER BY length, way_id) AS rn FROM (SELECT place_id, least(a, b) AS a, greatest(a, b) AS b, length, way_id FROM {PAIRS} p) x) g WHERE rn = 1)"
+CORNERED = "sqrt(pow(x - ({s}), 2) + pow(y - ({s}), 2))"
+ROUTES = "WITH RECURSIVE " + COMPONENTS + f""", gw AS MATERIALIZED (SELECT * FROM {WHOLE} q), ew AS (SELECT place_id, a AS u, b AS v, length FROM gw UNION ALL SELECT place_id, b, a, length FROM gw),
+  main AS (SELECT place_id, arg_max(component, n * 1000000000 - component) AS component FROM (SELECT place_id, component, count(*) AS n FROM comp GROUP BY 1, 2) c GROUP BY place_id),
+  spot AS (SELECT DISTINCT c.place_id, c.v, f.x, f.y FROM comp c JOIN main USING (place_id, component) JOIN f_vertices f ON f.place_id = c.place_id AND f.node_id = c.v),
+  pick AS (SELECT place_id, arg_min(v, {{'d': {CORNERED.format(s=-HALF)}, 'v': v}}) AS s, arg_min(v, {{'d': {CORNERED.format(s=HALF)}, 'v': v}}) AS t FROM spot GROUP BY place_id),
+  bf AS (SELECT place_id, s AS v, 0.0::DOUBLE AS dist, 0 AS k FROM pick UNION ALL SELECT place_id, v, dist, k FROM (SELECT z.place_id, z.v, min(z.dist) AS dist, z.k FROM (
+    SELECT bf.place_id, ew.v, bf.dist + ew.length AS dist, bf.k + 1 AS k FROM bf JOIN ew ON ew.place_id = bf.place_id AND ew.u = bf.v WHERE bf.k < 300) z GROUP BY z.place_id, z.v, z.k) q),
+  lab AS MATERIALIZED (SELECT place_id, v, min(dist) AS dist, arg_min(k, {{'d': dist, 'k': k}}) AS hops FROM bf GROUP BY place_id, v),
+  par AS MATERIALIZED (SELECT l.place_id, l.v, l.dist, l.hops, min(o.v) AS parent FROM lab l LEFT JOIN (ew JOIN lab o ON o.place_id = ew.place_id AND o.v = ew.u) ON ew.place_id = l.place_id AND ew.v = l.v AND o.dist + ew.length = l.dist AND o.hops + 1 = l.hops GROUP BY 1, 2, 3, 4),
+  way AS (SELECT p.place_id, par.v, par.hops, par.dist, par.parent FROM pick p JOIN par ON par.place_id = p.place_id AND par.v = p.t UNION ALL SELECT par.place_id, par.v, par.hops, par.dist, par.parent FROM way JOIN par ON par.place_id = way.place_id AND par.v = way.parent)"""
+
+
+def route_rows(t):
+    g = junction_graph(t).withColumn("length", F.floor(F.col("length") * 10 + 0.5).cast("double"))
+    parts = graph.connected_components(vertices(t), g)
+    main = parts.groupBy("place_id", "component").agg(F.count("*").alias("n")).groupBy("place_id").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("component"))
+    where = t.f_vertices.select("place_id", F.col("node_id").alias("v"), "x", "y").distinct()
+    spots = parts.join(main, ["place_id", "component"]).join(where, ["place_id", "v"])
+    far = lambda s: F.sqrt((F.col("x") - s) * (F.col("x") - s) + (F.col("y") - s) * (F.col("y") - s))
+    ends = cut_lineage(spots.groupBy("place_id").agg(F.min_by("v", F.struct(far(-HALF), "v")).alias("s"), F.min_by("v", F.struct(far(HALF), "v")).alias("t")).withColumn("route_id", F.lit(0)))
+    g = cut_lineage(g)
+    paths = graph.shortest_paths(g, ends.select("place_id", "route_id", F.col("s").alias("v")))
+    return graph.routes(paths, ends.select("place_id", "route_id", F.col("t").alias("v"))), g
+
+
+@query("routes", ROUTES + " SELECT place_id, v, CAST(hops AS BIGINT) AS hops, CAST(dist AS BIGINT) AS dist_mm, parent FROM way")
 def _(t):
-    g = junction_graph(t)
-    paths = graph.shortest_paths(g, hub(g))
-    target = paths.groupBy("place_id", "route_id").agg(F.max_by("v", F.struct("dist", "v")).alias("v"))
-    return graph.routes(paths, target).select("place_id", "v", "hops", half_up(F.col("dist") * 10).alias("dist_mm"))
+    return route_rows(t)[0].select("place_id", "v", "hops", F.col("dist").cast("bigint").alias("dist_mm"), "parent")
+
+
+@query("route_summary", ROUTES + """, leg AS (SELECT w.place_id, w.hops, gw.way_id, lag(gw.way_id) OVER (PARTITION BY w.place_id ORDER BY w.hops) AS was FROM way w JOIN gw ON gw.place_id = w.place_id AND gw.a = least(w.v, w.parent) AND gw.b = greatest(w.v, w.parent))
+  SELECT p.place_id, p.s AS source, p.t AS target, CAST(w.dist AS BIGINT) AS length_mm, CAST(w.n AS BIGINT) AS junctions, CAST(coalesce(l.n, 0) AS BIGINT) AS roads FROM pick p JOIN (SELECT place_id, max(dist) AS dist, count(*) AS n FROM way GROUP BY 1) w USING (place_id)
+  LEFT JOIN (SELECT place_id, count(*) AS n FROM leg WHERE was IS NULL OR was <> way_id GROUP BY 1) l USING (place_id)""")
+def _(t):
+    out = graph.route_summary(*route_rows(t))
+    return out.select("place_id", "source", "target", F.col("length").cast("bigint").alias("length_mm"), "junctions", F.col("roads").cast("bigint").alias("roads"))

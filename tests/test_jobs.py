@@ -5,6 +5,7 @@ import hashlib
 import json
 import math
 import os
+import heapq
 import random
 import shutil
 
@@ -47,6 +48,38 @@ def test_shortest_paths_and_routes(spark):
     assert all((min(a.v, b.v), max(a.v, b.v)) in edges for a, b in zip(route, route[1:]))
 
 
+def test_a_chain_of_5000_hops(spark):
+    """A chain with a loop in its middle and a short branch: contracted, its rounds don't follow its hops."""
+    n = 5000
+    edges = [(k, k + 1, 1 + k % 3) for k in range(n)] + [(2000, 9000, 1), (9000, 2002, 1), (n, 9500, 4), (9600, 9601, 1), (9601, 9602, 1), (9602, 9600, 1)]
+    table = spark.createDataFrame([(0, a, b, float(w), a // 100) if a < b else (0, b, a, float(w), a // 100) for a, b, w in edges], "place_id long, a long, b long, length double, way_id long").repartition(3)
+    at = spark.createDataFrame([(0, 0, 0), (0, 1, 2500)], "place_id long, route_id int, v long")
+    paths = graph.shortest_paths(table, at).cache()
+    got = {(r.route_id, r.v): (r.dist, r.hops, r.parent) for r in paths.collect()}
+    near = {}
+    for a, b, w in edges:
+        near.setdefault(a, []).append((b, w))
+        near.setdefault(b, []).append((a, w))
+    for route, source in ((0, 0), (1, 2500)):
+        want, heap = {}, [(0.0, 0, -1, source)]
+        while heap:
+            d, h, p, v = heapq.heappop(heap)
+            if v not in want:
+                want[v] = (d, h, None if p < 0 else p)
+                for w, length in near[v]:
+                    heapq.heappush(heap, (d + length, h + 1, v, w))
+        assert {v: x for (r, v), x in got.items() if r == route} == want
+    target = spark.createDataFrame([(0, 0, 9500), (0, 1, 2500)], "place_id long, route_id int, v long")
+    route = graph.routes(paths, target).cache()
+    walk = [r.v for r in route.filter("route_id = 0").orderBy("hops").collect()]
+    assert walk[0] == 0 and walk[-1] == 9500 and len(walk) == n + 2 == got[0, 9500][1] + 1 and 9000 in walk
+    summary = {r.route_id: r for r in graph.route_summary(route, table).collect()}
+    assert (summary[0].source, summary[0].target, summary[0].junctions, summary[0].length) == (0, 9500, n + 2, got[0, 9500][0])
+    way = {frozenset(e[:2]): e[0] // 100 for e in edges}
+    roads = [way[frozenset(leg)] for leg in zip(walk, walk[1:])]
+    assert summary[0].roads == 1 + sum(a != b for a, b in zip(roads, roads[1:])) and (summary[1].junctions, summary[1].roads) == (1, 0)
+
+
 def test_fill_and_blur_keep_a_constant(spark):
     rows = [(0, j, i, None if (i, j) in ((3, 3), (3, 4), (0, 0)) else 7.0) for j in range(8) for i in range(8)]
     df = spark.createDataFrame(rows, "place_id int, j int, i int, z double")
