@@ -2,11 +2,12 @@
 grow without bound are paged."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from placeloom.functions import scalars as fn, shapes as sh
 from placeloom.operators import geometry as geo
 from placeloom.operators.scale import spread_row_number, top_k
+from placeloom.session import cut_lineage
 
 
 def layer_stats(layers: DataFrame, water: list) -> DataFrame:
@@ -87,11 +88,39 @@ def raster_range(raster: DataFrame, x0: float, y0: float, step: float, half: flo
                                           ((F.lit(x0) <= -half) & (F.lit(y0) <= -half) & (F.max("i") * step + x0 >= half) & (F.max("j") * step + y0 >= half)).alias("covers"))
 
 
-def quantiles(values: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles. Values are counted first (heights are rounded, so few are distinct), then one small
-    weighted percentile per key."""
-    counted = values.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return counted.groupBy(*keys).agg(*[F.percentile(value, F.lit(p), F.col("_n")).alias(name) for name, p in wanted.items()])
+def quantiles(values: DataFrame, keys: list[str], value: str, wanted: dict[str, float], most: int = 1 << 16, buckets: int = 1024) -> DataFrame:
+    """Exact interpolated quantiles of the values that are neither NULL nor NaN. Values are counted first (heights are rounded, so few are distinct).
+
+    Where no key has more than `most` distinct values, one weighted percentile per key; else the values at the wanted ranks are found by
+    histograms that narrow: each round counts `buckets` parts of what is left of a rank's range and goes on in the part that holds it. So no key is gathered in one task."""
+    counted = cut_lineage(values.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*keys, value).agg(F.count("*").alias("_n")))
+    distinct = counted.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+    if distinct <= most:
+        return counted.groupBy(*keys).agg(*[F.percentile(value, F.lit(p), F.col("_n")).alias(name) for name, p in wanted.items()])
+    names = [f"_k{n}" for n in range(len(keys))]
+    rows = counted.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).cast("double").alias("_v"), "_n")
+    whole = rows.groupBy(*names).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    places = F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("at")) for name, p in wanted.items()])
+    asked = whole.withColumn("_p", F.explode(places)).withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_p.at"), F.ceil("_p.at")))))
+    state = cut_lineage(asked.select(*names, F.col("_p.name").alias("name"), F.col("_p.at").alias("at"), "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_before")))
+    while not state.filter("_lo < _hi").isEmpty():
+        todo = state.filter("_lo < _hi").withColumnsRenamed({n: f"_{n}" for n in names})
+        own = F.lit(True)
+        for n in names:
+            own = own & F.col(n).eqNullSafe(F.col(f"_{n}"))
+        inside = rows.join(todo, own & F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop(*[f"_{n}" for n in names])
+        part = F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets))
+        rank = [*names, "name", "at", "_r", "_before"]
+        counts = inside.groupBy(*rank, part.alias("_b")).agg(F.sum("_n").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        along = W.partitionBy(*names, "name", "_r").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # at most `buckets` rows
+        summed = counts.withColumn("_s", F.col("_before") + F.coalesce(F.sum("_c").over(along), F.lit(0)))
+        narrowed = summed.filter((F.col("_s") <= F.col("_r")) & (F.col("_r") < F.col("_s") + F.col("_c"))).select(*names, "name", "at", "_r", "_lo", "_hi", F.col("_s").alias("_before"))
+        state = cut_lineage(state.filter("_lo >= _hi").unionByName(narrowed))
+    share = F.col("at") - F.floor("at")
+    # The lower and the upper rank of each name; they are one where a quantile falls on a value.
+    ends = state.groupBy(*names, "name", "at").agg(F.min("_lo").alias("a"), F.max("_lo").alias("b")).withColumn("q", (1 - share) * F.col("a") + share * F.col("b"))
+    found = ends.groupBy(*names).agg(*[F.max(F.when(F.col("name") == name, F.col("q"))).alias(name) for name in wanted])
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *wanted)
 
 
 # ---------------------------------------------------------------- statuses

@@ -101,9 +101,9 @@ def _(t):
 MEAS = """(SELECT *, len_sum - len AS s FROM (SELECT *, sum(len) OVER (PARTITION BY way_id ORDER BY seq) AS len_sum
    FROM (SELECT *, sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)) AS len FROM f_segments) a) b)"""
 
-@query("line_length", f"SELECT way_id, CAST(floor(sum(len) * 10 + 0.5) AS BIGINT) AS length_mm FROM {MEAS} m GROUP BY way_id")
+@query("line_length", f"SELECT v.way_id, CAST(floor(coalesce(l.len, 0) * 10 + 0.5) AS BIGINT) AS length_mm FROM (SELECT DISTINCT way_id FROM f_vertices) v LEFT JOIN (SELECT way_id, sum(len) AS len FROM {MEAS} m GROUP BY way_id) l ON l.way_id = v.way_id")
 def _(t):
-    return t.lines.select("way_id", sh.line_length(F.col("pts")).alias("l")).filter("l > 0").select("way_id", half_up(F.col("l") * 10).alias("length_mm"))
+    return t.lines.select("way_id", sh.line_length(F.col("pts")).alias("l")).select("way_id", half_up(F.col("l") * 10).alias("length_mm"))
 
 
 @query("interpolate_along", f"""SELECT way_id, CAST(floor(x + 0.5) AS BIGINT) AS at_x, CAST(floor(y + 0.5) AS BIGINT) AS at_y FROM (

@@ -1,9 +1,11 @@
 """Nothing is lost at the ends: far targets, NULL keys, holes, text classes, antipodes."""
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
-from placeloom.operators import audit, geometry as geo, joins, resolve, scale, windows
+from placeloom.operators import aggregate, audit, geometry as geo, joins, resolve, scale, windows
 
 
 def test_far_target_is_found(spark):
@@ -51,3 +53,26 @@ def test_road_overrides_stay_in_their_place(spark):
     overrides = spark.createDataFrame([(1, "Main", "5"), (2, "Main", "9"), (2, "w10", "3")], "place_id long, key string, width string")
     out = resolve.resolve_road_overrides(roads, overrides, ["width"])
     assert sorted((r.place_id, r.way_id, r.tags["width"]) for r in out.collect()) == [(1, 10, "5"), (2, 10, "3"), (2, 20, "9")]
+
+
+def test_quantiles_by_narrowing(spark):
+    """Ranks found without a key's values in one task: ties, one value, NULL keys, far ranges, NULL and NaN values."""
+    rng = np.random.default_rng(7)
+    of = {"a": rng.normal(0, 1, 900), "b": np.repeat(rng.integers(0, 4, 30), 20).astype(float), "c": np.array([5.0]), None: np.array([-1e9, 0.0, 1e-9, 2e-9, 3.0, 1e12]), "d": np.array([1.0, 2.0])}
+    rows = [(k, float(v)) for k, vs in of.items() for v in vs] + [("a", None), ("c", float("nan")), ("e", None)]
+    wanted = {"low": 0.0, "p10": 0.1, "median": 0.5, "p99": 0.99, "high": 1.0}
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for most in (0, 1 << 16):
+        got = {r.k: r for r in aggregate.quantiles(df, ["k"], "v", wanted, most=most, buckets=8).collect()}
+        assert set(got) == set(of)
+        for k, vs in of.items():
+            assert all(math.isclose(got[k][name], float(np.quantile(vs, p)), rel_tol=1e-12, abs_tol=1e-12) for name, p in wanted.items()), (k, most)
+
+
+def test_malformed_look_mixes_are_reported(spark):
+    zones = spark.createDataFrame([(1, 0, {"look_mix": "brick", "levels": "3"}), (2, 0, {"roof_look_mix": "a/b/c:1|tile/red:0"}), (3, 0, {"look_mix": "wood/falu:2"})], "id long, zone_rank int, settings map<string,string>")
+    features = spark.createDataFrame([(k,) for k in (1, 2, 3)], "id long")
+    own = spark.createDataFrame([], "key string, settings map<string,string>")
+    got = {r.id: r.settings for r in resolve.resolve_overrides(features, zones, own).collect()}
+    assert got == {1: {"levels": "3"}, 2: {}, 3: {"style": "wood", "colour": "falu"}}
+    assert sorted(tuple(r) for r in resolve.malformed_settings(zones).collect()) == [(1, "look_mix", "brick"), (2, "roof_look_mix", "a/b/c")]
