@@ -17,7 +17,7 @@ Box = list[Column]
 
 
 def to_cells(df: DataFrame, box: Box, cell: float) -> DataFrame:
-    rows = df.withColumns({"_x0": box[0], "_y0": box[1]})
+    rows = df.withColumns({"_x0": box[0], "_y0": box[1], "_x1": box[2], "_y1": box[3]})
     return sh.unnest(rows, sh.cells_of_box(*box, cell), "_c").select("*", F.col("_c.ci").alias("_ci"), F.col("_c.cj").alias("_cj")).drop("_c")
 
 
@@ -50,7 +50,7 @@ def binned_join(left: DataFrame, right: DataFrame, lbox: Box, rbox: Box, cell: f
         matched = binned_join(left, right.select("*"), lbox, rbox, cell, on, keys, "inner", hot_rows=hot_rows).select(*left_id).distinct()
         return left.join(matched, left_id, how)
     a = to_cells(left, lbox, cell)
-    b = to_cells(right, rbox, cell).withColumnsRenamed({"_x0": "_rx0", "_y0": "_ry0"})
+    b = to_cells(right, rbox, cell).withColumnsRenamed({f"_{c}": f"_r{c}" for c in ("x0", "y0", "x1", "y1")})
     joint = [*keys, "_ci", "_cj"]
     if hot_rows:
         a, b, joint = _spread(a, b, joint, hot_rows)
@@ -58,6 +58,8 @@ def binned_join(left: DataFrame, right: DataFrame, lbox: Box, rbox: Box, cell: f
     cond = (F.floor(F.greatest("_x0", "_rx0") / cell) == F.col("_ci")) & (F.floor(F.greatest("_y0", "_ry0") / cell) == F.col("_cj"))
     for n, k in enumerate(joint):
         cond = cond & (F.col(k) == F.col(f"_k{n}"))
+    # Boxes first: they spare most pairs of a cell the test itself.
+    cond = cond & (F.col("_x0") <= F.col("_rx1")) & (F.col("_rx0") <= F.col("_x1")) & (F.col("_y0") <= F.col("_ry1")) & (F.col("_ry0") <= F.col("_y1"))
     if on is not None:
         cond = cond & on
     out = [c for c in left.columns] + [c for c in right.columns if c not in keys]
@@ -219,15 +221,13 @@ def segment_intersection_join(segments: DataFrame, line_id: str, cell: float) ->
     cross = (den != 0) & (tn * F.signum(den) >= 0) & (tn * F.signum(den) <= F.abs(den)) & (un * F.signum(den) >= 0) & (un * F.signum(den) <= F.abs(den))
     collinear = (den == 0) & (un == 0)
     pairs = binned_join(side("a"), side("b"), segment_box("a"), segment_box("b"), cell, (F.col("a") < F.col("b")) & (cross | collinear))
-    at = tn / F.nullif(den, F.lit(0.0))
-    crossing = pairs.filter(den != 0).select("place_id", "a", "b", (c["ax1"] + rx * at).alias("mx"), (c["ay1"] + ry * at).alias("my"))
-    # Shared stretch: overlap of the two along the first segment's direction.
+    # Where along the first segment: at one place, or at both ends of what is shared.
     norm = rx * rx + ry * ry
     u1, u2 = (qx * rx + qy * ry) / norm, ((c["bx2"] - c["ax1"]) * rx + (c["by2"] - c["ay1"]) * ry) / norm
     lo, hi = F.greatest(F.lit(0.0), F.least(u1, u2)), F.least(F.lit(1.0), F.greatest(u1, u2))
-    ends = pairs.filter(den == 0).withColumns({"_lo": lo, "_hi": hi}).filter("_lo <= _hi").withColumn("_u", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
-    shared = ends.select("place_id", "a", "b", (c["ax1"] + rx * F.col("_u")).alias("mx"), (c["ay1"] + ry * F.col("_u")).alias("my"))
-    return crossing.unionByName(shared).distinct()
+    along = F.when(den != 0, F.array(tn / F.nullif(den, F.lit(0.0)))).when(lo <= hi, F.array_distinct(F.array(lo, hi)))
+    met = pairs.withColumn("_u", F.explode(along))
+    return met.select("place_id", "a", "b", (c["ax1"] + rx * F.col("_u")).alias("mx"), (c["ay1"] + ry * F.col("_u")).alias("my")).distinct()
 
 
 def party_walls(walls: DataFrame, neighbours: DataFrame, cell: float, outward: float) -> DataFrame:
