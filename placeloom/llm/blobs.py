@@ -40,6 +40,14 @@ def column(batch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def rows_of(parts: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
+    """The rows of large cells one by one, so that only one is there as Python objects."""
+    for part in parts:
+        columns = [part.column(part.schema.get_field_index(n)) for n in names]
+        for k in range(part.num_rows):
+            yield [c[k].as_py() for c in columns]
+
+
 TOKENISED = "batch long, words binary, ids binary, lengths array<int>, doc_ids array<long>, rows array<long>"
 
 

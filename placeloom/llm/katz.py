@@ -9,11 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from placeloom.llm.blobs import column, pack, pack_words, tasks, tokenised, unpack, unpack_words
-from placeloom.llm.store import stored
+from placeloom.llm.blobs import pack, pack_words, rows_of, tasks, tokenised, unpack, unpack_words
+from placeloom.llm.store import discard, stored
 
 TOP = 5  # counts above it are trusted
 START = -1  # context of a text's first token
+BATCH = 1 << 20  # words of a token batch: a worker holds one batch, with about 100 bytes a word
+BUCKET = 1 << 22  # words whose bigrams come to one bucket, about: a worker holds one bucket
 N_STATS = TOP + 2  # of a context: types seen once .. TOP times, all occurrences, and the base probability of its successors
 
 
@@ -55,12 +57,11 @@ def context_weights(stats: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def word_requests(parts: Iterator[pa.RecordBatch], buckets: int, folds: int, held_out: int) -> Iterator[pa.RecordBatch]:
     """Each batch's words and training counts, cut by hash. The end of a text is the empty word."""
-    for part in parts:
-        for batch, words, ids, lengths, doc_ids in zip(*(column(part, c) for c in ("batch", "words", "ids", "lengths", "doc_ids"))):
-            b = Batch(words, ids, lengths, doc_ids, folds, held_out)
-            counts = np.bincount(b.flat, b.learnt, len(b.words)).astype(np.int64)
-            for k, at in b.by_hash(buckets):
-                yield pa.RecordBatch.from_pydict({"bucket": [k], "batch": [batch], "words": [pack_words([b.words[i] for i in at])], "counts": [pack(counts[at])]})
+    for batch, words, ids, lengths, doc_ids in rows_of(parts, "batch", "words", "ids", "lengths", "doc_ids"):
+        b = Batch(words, ids, lengths, doc_ids, folds, held_out)
+        counts = np.bincount(b.flat, b.learnt, len(b.words)).astype(np.int64)
+        for k, at in b.by_hash(buckets):
+            yield pa.RecordBatch.from_pydict({"bucket": [k], "batch": [batch], "words": [pack_words([b.words[i] for i in at])], "counts": [pack(counts[at])]})
 
 
 class Batch:
@@ -115,8 +116,9 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 1
 
     NULL and empty texts are the end token alone; a NULL id counts as the empty id text; repeated rows count and score once each; with no
     training text the base is uniform over the unknown word; an empty table gives no rows; other columns are ignored."""
-    batches = stored(tokenised(docs), "tokens")
-    buckets = 2 * tasks(docs)
+    batches = stored(tokenised(docs, max_tokens=BATCH), "tokens")
+    n_words = batches.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x))).first()[0] or 0
+    buckets = max(2 * tasks(docs), -(-n_words // BUCKET))
     words = stored(batches.mapInArrow(lambda parts: word_requests(parts, buckets, folds, held_out), "bucket long, batch long, words binary, counts binary"), "words")
 
     def number_words(part: pa.Table) -> pa.Table:
@@ -129,21 +131,21 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 1
                          "total": pa.array([int(counts.sum()) * o for o in own], pa.int64()), "kinds": pa.array([int((counts > 0).sum()) * o for o in own], pa.int64())})
 
     numbers = stored(words.groupBy("bucket").applyInArrow(number_words, "batch long, bucket long, a binary, b binary, total long, kinds long"), "numbers")
+    discard(words)
     base = Base(*(int(x or 0) for x in numbers.agg(F.sum("total"), F.sum("kinds")).first()))
     replies = numbers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "a", "b")).alias("numbers"))  # of one batch
     sent = ("batch", "words", "ids", "lengths", "doc_ids", "numbers")
     shape = pa.schema([*((c, pa.int64()) for c in ("bucket", "batch")), *((c, pa.binary()) for c in ("v", "w", "count", "base", "hot"))])
 
     def bigram_requests(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for batch, *row, got in zip(*(column(part, c) for c in sent)):
-                b = Batch(*row, folds, held_out)
-                b.learn(got, buckets)
-                v, w, cuts = b.bigrams(buckets, hot)
-                counts = np.bincount(b.token, b.learnt, len(v)).astype(np.uint32)
-                for k, at in cuts:
-                    row_of = [k, batch, pack(np.diff(b.context[at], prepend=0)), pack(b.number[w[at]]), pack(counts[at]), pack(b.count[w[at]].astype(np.uint64)), pack(b.hot[at].astype(np.uint8))]
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row_of, shape)], schema=shape)
+        for batch, *row, got in rows_of(parts, *sent):
+            b = Batch(*row, folds, held_out)
+            b.learn(got, buckets)
+            v, w, cuts = b.bigrams(buckets, hot)
+            counts = np.bincount(b.token, b.learnt, len(v)).astype(np.uint32)
+            for k, at in cuts:
+                row_of = [k, batch, pack(np.diff(b.context[at], prepend=0)), pack(b.number[w[at]]), pack(counts[at]), pack(b.count[w[at]].astype(np.uint64)), pack(b.hot[at].astype(np.uint8))]
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row_of, shape)], schema=shape)
 
     asked = batches.join(replies, "batch").select(*sent).mapInArrow(bigram_requests, "bucket long, batch long, v binary, w binary, count binary, base binary, hot binary")
 
@@ -186,28 +188,27 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 1
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for _, words_of, ids, lengths, doc_ids, got, said, hot_of in zip(*(column(part, c) for c in (*sent, "answers", "warm"))):
-                b = Batch(words_of, ids, lengths, doc_ids, folds, held_out)
-                b.learn(got, buckets)
-                v, w, cuts = b.bigrams(buckets, hot)
-                told = {a["bucket"]: a for a in said}
-                sums = {x["v"]: x["s"] for x in hot_of or []}
-                p1 = base.of(b.count.astype(float))
-                p2 = np.zeros(len(v))
-                for k, at in cuts:
-                    own = b.context[at]
-                    new = np.diff(own, prepend=own[0] - 1) != 0
-                    stats = unpack(told[k]["stats"], np.float64).reshape(-1, N_STATS).copy()
-                    for i in np.flatnonzero(b.hot[at][new]):
-                        stats[i] = sums[int(own[new][i])]
-                    scale, weight = context_weights(stats, d)
-                    ctx, c = np.cumsum(new) - 1, unpack(told[k]["counts"], np.uint32).astype(float)
-                    factor = np.where(c > TOP, 1.0, np.append(1.0, d)[np.minimum(c, TOP).astype(int)])
-                    p2[at] = np.where(c > 0, scale[ctx] * factor * c / np.maximum(stats[ctx, TOP], 1), weight[ctx] * p1[w[at]])
-                add = lambda x: np.add.reduceat(x, b.starts)
-                cols = [pa.array(doc_ids, pa.int64()), pa.array(b.out), pa.array(b.lengths), pa.array(add((b.count[b.flat] > 0).astype(np.int64))), pa.array(add(np.log10(p1)[b.flat])), pa.array(add(np.log10(p2)[b.token]))]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+        for _, words_of, ids, lengths, doc_ids, got, said, hot_of in rows_of(parts, *sent, "answers", "warm"):
+            b = Batch(words_of, ids, lengths, doc_ids, folds, held_out)
+            b.learn(got, buckets)
+            v, w, cuts = b.bigrams(buckets, hot)
+            told = {a["bucket"]: a for a in said}
+            sums = {x["v"]: x["s"] for x in hot_of or []}
+            p1 = base.of(b.count.astype(float))
+            p2 = np.zeros(len(v))
+            for k, at in cuts:
+                own = b.context[at]
+                new = np.diff(own, prepend=own[0] - 1) != 0
+                stats = unpack(told[k]["stats"], np.float64).reshape(-1, N_STATS).copy()
+                for i in np.flatnonzero(b.hot[at][new]):
+                    stats[i] = sums[int(own[new][i])]
+                scale, weight = context_weights(stats, d)
+                ctx, c = np.cumsum(new) - 1, unpack(told[k]["counts"], np.uint32).astype(float)
+                factor = np.where(c > TOP, 1.0, np.append(1.0, d)[np.minimum(c, TOP).astype(int)])
+                p2[at] = np.where(c > 0, scale[ctx] * factor * c / np.maximum(stats[ctx, TOP], 1), weight[ctx] * p1[w[at]])
+            add = lambda x: np.add.reduceat(x, b.starts)
+            cols = [pa.array(doc_ids, pa.int64()), pa.array(b.out), pa.array(b.lengths), pa.array(add((b.count[b.flat] > 0).astype(np.int64))), pa.array(add(np.log10(p1)[b.flat])), pa.array(add(np.log10(p2)[b.token]))]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     scored = whole.select(*sent, "answers", "warm").mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(base.total).cast("long"))
