@@ -106,18 +106,20 @@ class Batch:
         return v, w, [(int(own[at[0]]), at) for at in np.split(order, edges[1:])]
 
 
-def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 100_000) -> DataFrame:
+def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = BUCKET // 4) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every whole text; log10 probabilities.
 
     Learns from rows whose crc32(doc_id as text) mod `folds` isn't `held_out`. Batches of texts send their distinct words, then
     their distinct bigrams, to tables partitioned by hash, which count over all batches and answer each batch for what it sent; so
     what travels is one row of compact arrays per batch and partition. The n-gram table keeps, per context, what Good-Turing and the
-    backoff weight need. A score goes from bigram to weighted word to the unknown word, token by token.
+    backoff weight need. A context seen more than `hot` times, or by more than one word in 2^20, is spread over all buckets; there are
+    at most 2^20 of these (and the start), so their sums travel with the scoring code. A score goes from bigram to weighted word to the unknown word, token by token.
 
     NULL and empty texts are the end token alone; a NULL id counts as the empty id text; repeated rows count and score once each; with no
     training text the base is uniform over the unknown word; an empty table gives no rows; other columns are ignored."""
     batches = stored(tokenised(docs, max_tokens=BATCH), "tokens")
     n_words = batches.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x))).first()[0] or 0
+    hot = max(hot, n_words >> 20)
     buckets = max(2 * tasks(docs), -(-n_words // BUCKET))
     words = stored(batches.mapInArrow(lambda parts: word_requests(parts, buckets, folds, held_out), "bucket long, batch long, words binary, counts binary"), "words")
 
@@ -174,34 +176,33 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 1
         mine = np.searchsorted(contexts, warm)
         batch, bucket = part["batch"].to_pylist(), part["bucket"].to_pylist()
         return pa.table({"batch": pa.array(batch, pa.int64()), "bucket": pa.array(bucket, pa.int64()), "counts": pa.array(counts, pa.binary()), "stats": pa.array(rows, pa.binary()),
-                         "hot": pa.array([[int(x) for x in np.unique(o[f > 0])] for o, f in zip(v, h)], pa.list_(pa.int64())),
                          "sums": pa.array([[{"v": int(x), "s": [float(y) for y in stats[m]]} for x, m in zip(warm, mine)]] + [[]] * (n - 1), pa.list_(pa.struct([("v", pa.int64()), ("s", pa.list_(pa.float64()))]))),
                          "seen": pa.array([[int((total == r).sum()) for r in range(1, TOP + 2)]] + [[0] * (TOP + 1)] * (n - 1), pa.list_(pa.int64()))})
 
-    table = stored(asked.groupBy("bucket").applyInArrow(count_bigrams, "batch long, bucket long, counts binary, stats binary, hot array<long>, sums array<struct<v:long,s:array<double>>>, seen array<long>"), "bigrams")
+    table = stored(asked.groupBy("bucket").applyInArrow(count_bigrams, "batch long, bucket long, counts binary, stats binary, sums array<struct<v:long,s:array<double>>>, seen array<long>"), "bigrams")
     seen = table.agg(*[F.sum(F.col("seen")[r]) for r in range(TOP + 1)]).first()
     d = discounts(np.array([int(x or 0) for x in seen]))
     hot_sums = table.select(F.explode("sums").alias("x")).groupBy("x.v").agg(F.array(*[F.sum(F.col("x.s")[k]) for k in range(N_STATS)]).alias("s"))
-    warm = table.select("batch", F.explode("hot").alias("v")).distinct().join(hot_sums, "v").groupBy("batch").agg(F.collect_list(F.struct("v", "s")).alias("warm"))
+    told = hot_sums.orderBy("v").collect()
+    hot_keys, hot_stats = np.array([r.v for r in told], np.int64), np.array([r.s for r in told]).reshape(-1, N_STATS)
     answers = table.groupBy("batch").agg(F.collect_list(F.struct("bucket", "counts", "stats")).alias("answers"))
-    whole = batches.join(replies, "batch").join(answers, "batch").join(warm, "batch", "left")
+    whole = batches.join(replies, "batch").join(answers, "batch")
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, words_of, ids, lengths, doc_ids, got, said, hot_of in rows_of(parts, *sent, "answers", "warm"):
+        for _, words_of, ids, lengths, doc_ids, got, said in rows_of(parts, *sent, "answers"):
             b = Batch(words_of, ids, lengths, doc_ids, folds, held_out)
             b.learn(got, buckets)
             v, w, cuts = b.bigrams(buckets, hot)
             told = {a["bucket"]: a for a in said}
-            sums = {x["v"]: x["s"] for x in hot_of or []}
             p1 = base.of(b.count.astype(float))
             p2 = np.zeros(len(v))
             for k, at in cuts:
                 own = b.context[at]
                 new = np.diff(own, prepend=own[0] - 1) != 0
                 stats = unpack(told[k]["stats"], np.float64).reshape(-1, N_STATS).copy()
-                for i in np.flatnonzero(b.hot[at][new]):
-                    stats[i] = sums[int(own[new][i])]
+                spread = np.flatnonzero(b.hot[at][new])
+                stats[spread] = hot_stats[np.searchsorted(hot_keys, own[new][spread])]
                 scale, weight = context_weights(stats, d)
                 ctx, c = np.cumsum(new) - 1, unpack(told[k]["counts"], np.uint32).astype(float)
                 factor = np.where(c > TOP, 1.0, np.append(1.0, d)[np.minimum(c, TOP).astype(int)])
@@ -210,5 +211,5 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = 1
             cols = [pa.array(doc_ids, pa.int64()), pa.array(b.out), pa.array(b.lengths), pa.array(add((b.count[b.flat] > 0).astype(np.int64))), pa.array(add(np.log10(p1)[b.flat])), pa.array(add(np.log10(p2)[b.token]))]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    scored = whole.select(*sent, "answers", "warm").mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = whole.select(*sent, "answers").mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(base.total).cast("long"))
