@@ -136,3 +136,21 @@ def _(t):
 def _(t):
     out = run.run_to_end(t.spark, stream(t), pk.delivery_lateness_stream, run.fresh(scratch(t)))
     return out.select("event_id", F.col("offset_ms").cast("bigint").alias("offset_ms"), F.col("worst_ms").cast("bigint").alias("worst_ms"))
+
+
+# Packets come in five deliveries of six days; every ninth comes two deliveries late, every fifth of the others one.
+LATE = """WITH e AS (SELECT event_id, ts, CAST(coalesce(least(4, greatest(0, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 6) + CASE WHEN event_id % 9 = 0 THEN 2 WHEN event_id % 5 = 0 THEN 1 ELSE 0 END), 0) AS INTEGER) AS delivery FROM f_packets),
+  w AS (SELECT delivery, max(max(ts)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM e GROUP BY delivery),
+  l AS (SELECT e.*, coalesce(epoch_us(ts) <= (epoch_ms(top) - 3 * 86400000) * 1000, false) AS late FROM e JOIN w USING (delivery))
+  SELECT delivery, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (late) AS BIGINT) AS n_dropped, CAST(count(DISTINCT {'e': event_id, 't': ts}) FILTER (NOT late) AS BIGINT) AS n_kept FROM l GROUP BY delivery"""
+
+
+@query("late_packets", LATE)
+def _(t):
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    behind = F.when(F.col("event_id") % 9 == 0, 2).when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    number = F.coalesce(F.least(F.lit(4), F.greatest(F.lit(0), F.floor(day / 6)) + behind), F.lit(0)).cast("int")
+    rows = packets(t).select("event_id", "ts", number.alias("delivery"))
+    kept, dropped = run.run_deliveries(t.spark, rows, "delivery", lambda s: pk.on_time(s, "3 days"), run.fresh(scratch(t)))
+    counts = kept.groupBy("delivery").agg(F.count("*").alias("n_kept"))
+    return dropped.join(counts, "delivery", "left").select("delivery", "n_rows", "n_dropped", F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept"))

@@ -45,6 +45,12 @@ def rate_breaches(packets: DataFrame, window: str, limit: int, time: str = "ts")
     return packets.groupBy("sender", F.window(time, window).alias("w")).agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("sender", F.col("w.start").alias("start"), "n")
 
 
+def on_time(packets: DataFrame, delay: str, time: str = "ts", key: str = "event_id") -> DataFrame:
+    """Packets, each once, that come no more than `delay` behind the latest one of the batches before; a stream counts the others as dropped
+    by its watermark. On a batch nothing is late."""
+    return packets.withWatermark(time, delay).dropDuplicates([key, time])
+
+
 def presence_sessions(packets: DataFrame, gap: str, time: str = "ts") -> DataFrame:
     """Stretches of a sender without a silence longer than `gap`."""
     return packets.groupBy("sender", F.session_window(time, gap).alias("s")).agg(F.count("*").alias("n")).select("sender", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")

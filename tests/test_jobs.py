@@ -1,4 +1,5 @@
 """Graphs, rasters, sources and streams on small inputs against plain Python."""
+import datetime
 import glob
 import gzip
 import hashlib
@@ -237,3 +238,15 @@ def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
     q.awaitTermination()
     counts = {str(r.start)[:10]: r.n for r in spark.table("late").collect()}
     assert counts["2024-01-01"] == 2
+
+
+def test_deliveries_count_late_rows(spark, tmp_path):
+    shape = "event_id long, ts timestamp, delivery int"
+    day = lambda d: datetime.datetime(2024, 1, d)
+    rows = [(1, day(10), 0), (1, day(10), 0), (2, day(2), 0), (3, day(1), 1), (4, day(9), 1), (5, day(20), 1), (6, day(10), 3), (7, day(17), 3), (8, day(18), 3), (2, day(2), 3)]
+    kept, counts = run.run_deliveries(spark, spark.createDataFrame(rows, shape), "delivery", lambda s: pk.on_time(s, "3 days"), str(tmp_path / "a"))
+    # The mark is three days before the latest time of earlier deliveries: none, the 7th, the 17th; a time on the mark is late.
+    assert sorted(r.event_id for r in kept.collect()) == [1, 2, 4, 5, 8]
+    assert sorted(map(tuple, counts.collect())) == [(0, 3, 0), (1, 3, 1), (3, 4, 3)]
+    kept, counts = run.run_deliveries(spark, spark.createDataFrame([], shape), "delivery", lambda s: pk.on_time(s, "3 days"), str(tmp_path / "b"))
+    assert kept.count() == counts.count() == 0
