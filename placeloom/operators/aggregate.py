@@ -145,16 +145,23 @@ def fate_counts(fates: DataFrame, keys: list[str]) -> DataFrame:
     return fates.groupBy(*keys, "fate").agg(F.count("*").alias("n"))
 
 
-def similarity_fit(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Least-squares rotation and scale from (x, y) to (u, v), mean offset and the largest residual."""
-    mean = pairs.groupBy(*keys).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.avg("u").alias("mu"), F.avg("v").alias("mv"), F.count("*").alias("points"))
-    centred = pairs.join(mean, keys).select(*keys, "x", "y", "u", "v", (F.col("x") - F.col("mx")).alias("cx"), (F.col("y") - F.col("my")).alias("cy"),
-                                            (F.col("u") - F.col("mu")).alias("cu"), (F.col("v") - F.col("mv")).alias("cv"))
-    sums = centred.groupBy(*keys).agg(F.sum(F.col("cx") * F.col("cu") + F.col("cy") * F.col("cv")).alias("dot"), F.sum(F.col("cx") * F.col("cv") - F.col("cy") * F.col("cu")).alias("cross"),
-                                      F.sum(F.col("cx") * F.col("cx") + F.col("cy") * F.col("cy")).alias("norm"),
-                                      F.max(F.sqrt((F.col("u") - F.col("x")) * (F.col("u") - F.col("x")) + (F.col("v") - F.col("y")) * (F.col("v") - F.col("y")))).alias("max_residual"))
-    return mean.join(sums, keys).select(*keys, "points", F.atan2("cross", "dot").alias("rotation"), (F.sqrt(F.col("dot") * F.col("dot") + F.col("cross") * F.col("cross")) / F.col("norm")).alias("scale"),
-                                        (F.col("mu") - F.col("mx")).alias("offset_x"), (F.col("mv") - F.col("my")).alias("offset_y"), "max_residual")
+def similarity_fit(pairs: DataFrame, keys: list[str], limits: dict[str, float] | None = None) -> DataFrame:
+    """How far positions (u, v) are from their reference (x, y): least-squares rotation and scale about the origin, mean offset, largest and mean
+    residual, and `passed` where all are within `limits` (max_residual, mean_offset, rotation, scale_deviation; one left out isn't tested).
+
+    One aggregation; without a point off the origin, rotation is 0 and scale NULL, which doesn't pass a limit on it."""
+    x, y, u, v = (F.col(c) for c in "xyuv")
+    off = F.sqrt((u - x) * (u - x) + (v - y) * (v - y))
+    sums = pairs.groupBy(*keys).agg(F.count("*").alias("points"), F.sum(x * u + y * v).alias("dot"), F.sum(x * v - y * u).alias("cross"), F.sum(x * x + y * y).alias("norm"),
+                                    F.avg(u - x).alias("offset_x"), F.avg(v - y).alias("offset_y"), F.max(off).alias("max_residual"), F.avg(off).alias("mean_residual"))
+    scale = F.try_divide(F.sqrt(F.col("dot") * F.col("dot") + F.col("cross") * F.col("cross")), F.col("norm"))
+    fit = sums.select(*keys, "points", F.atan2("cross", "dot").alias("rotation"), scale.alias("scale"), "offset_x", "offset_y", "max_residual", "mean_residual")
+    found = {"max_residual": F.col("max_residual"), "mean_offset": F.sqrt(F.col("offset_x") * F.col("offset_x") + F.col("offset_y") * F.col("offset_y")),
+             "rotation": F.abs("rotation"), "scale_deviation": F.abs(F.col("scale") - 1)}
+    passed = F.lit(True)
+    for name, limit in (limits or {}).items():
+        passed = passed & F.coalesce(found[name] <= limit, F.lit(False))
+    return fit.withColumn("passed", passed)
 
 
 def site_suitability(features: DataFrame, weights: dict[str, float], step: float, side: int, k: int) -> DataFrame:
