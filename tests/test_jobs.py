@@ -12,7 +12,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from placeloom.operators import graph, raster, select, windows
+from placeloom.operators import aggregate, graph, raster, select, windows
 from placeloom.sources import elements, files, sinks
 from placeloom.streaming import packets as pk, run
 
@@ -250,3 +250,15 @@ def test_deliveries_count_late_rows(spark, tmp_path):
     assert sorted(map(tuple, counts.collect())) == [(0, 3, 0), (1, 3, 1), (3, 4, 3)]
     kept, counts = run.run_deliveries(spark, spark.createDataFrame([], shape), "delivery", lambda s: pk.on_time(s, "3 days"), str(tmp_path / "b"))
     assert kept.count() == counts.count() == 0
+
+
+def test_similarity_fit_about_the_origin(spark):
+    turn, grow = 0.1, 1.5
+    turned = [(1, x, y, grow * (x * math.cos(turn) - y * math.sin(turn)), grow * (x * math.sin(turn) + y * math.cos(turn))) for x, y in ((3.0, 4.0), (7.0, -2.0), (10.0, 11.0))]
+    rows = [*turned, (2, 0.0, 0.0, 0.3, 0.4), (3, 5.0, 5.0, 5.0, 5.0)]
+    pairs = spark.createDataFrame(rows, "place_id int, x double, y double, u double, v double")
+    got = {r.place_id: r for r in aggregate.similarity_fit(pairs, ["place_id"], {"max_residual": 1.0, "scale_deviation": 0.01}).collect()}
+    assert math.isclose(got[1].rotation, turn) and math.isclose(got[1].scale, grow) and not got[1].passed
+    assert math.isclose(got[1].mean_residual, sum(math.hypot(u - x, v - y) for _, x, y, u, v in turned) / 3)
+    assert got[2].scale is None and not got[2].passed and math.isclose(got[2].max_residual, 0.5)
+    assert got[3].passed and got[3].scale == 1
