@@ -4,10 +4,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeloom.functions.scalars import half_up
-from placeloom.operators import geometry as geo, joins
+from placeloom.operators import geometry as geo, joins, sweep
 from placeloom.plans.q_geometry import ints
 from placeloom.plans.registry import query
-from placeloom.plans.views import CHUNK
+from placeloom.plans.views import CHUNK, duck
 
 T_SQL = "least(greatest((({x} - x1) * (x2 - x1) + ({y} - y1) * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0), 0), 1)"
 
@@ -70,6 +70,36 @@ def _(t):
     return joins.parts_in_outlines(parts, buildings(t), CHUNK, 50.0).select("part_id", "b_id")
 
 
+# Parts of buildings: a wing at the lower left, a band through the middle or a tower on the upper side, by number; cm, like all of it.
+PART_BOXES = """(SELECT place_id, b_id * 4 + k AS part_id, x0 - 40 AS px0, y0 + (h * k) DIV 4 AS py0, x0 - 40 + (w * (1 + (b_id + k) % 4)) DIV 4 + 60 AS px1, y0 + (h * k) DIV 4 + 200 + (b_id * 13) % 400 AS py1
+  FROM (SELECT b.*, CAST(t.k AS BIGINT) AS k FROM f_buildings b JOIN (VALUES (0), (1), (2)) AS t(k) ON (b.b_id + t.k) % 3 <> 0 AND b.b_id % 5 <> 0) q)"""
+SLACK, LEAST_PIECE, LEAST_SHARE = 20.0, 120000.0, 0.2  # cm, cm2, part of the outline
+
+
+@query("outline_leftovers", f"""WITH RECURSIVE b AS (SELECT part_id, place_id, px0, py0, px1, py1, (px0 + px1) / 2.0 AS px, (py0 + py1) / 2.0 AS py FROM {duck(PART_BOXES)} p),
+  held AS (SELECT part_id, b_id FROM {poly_dist_sql('b', ['part_id'], 'px', 'py')} q WHERE inside OR d2 <= 2500),
+  cov AS (SELECT h.b_id, px0 - {SLACK} AS cx0, py0 - {SLACK} AS cy0, px1 + {SLACK} AS cx1, py1 + {SLACK} AS cy1 FROM held h JOIN b USING (part_id)),
+  xs AS (SELECT DISTINCT b_id, x FROM (SELECT b_id, x1 AS x FROM f_bedges UNION ALL SELECT b_id, unnest([cx0, cx1]) FROM cov) u),
+  ys AS (SELECT DISTINCT b_id, y FROM (SELECT b_id, y1 AS y FROM f_bedges UNION ALL SELECT b_id, unnest([cy0, cy1]) FROM cov) u),
+  xi AS (SELECT b_id, row_number() OVER w AS i, x AS xa, lead(x) OVER w AS xb FROM xs WINDOW w AS (PARTITION BY b_id ORDER BY x)),
+  yi AS (SELECT b_id, row_number() OVER w AS j, y AS ya, lead(y) OVER w AS yb FROM ys WINDOW w AS (PARTITION BY b_id ORDER BY y)),
+  cells AS (SELECT b_id, i, j, (xb - xa) * (yb - ya) AS area, (xa + xb) / 2 AS x, (ya + yb) / 2 AS y FROM xi JOIN yi USING (b_id) WHERE xb IS NOT NULL AND yb IS NOT NULL AND b_id IN (SELECT b_id FROM held)),
+  inside AS (SELECT c.b_id, i, j, any_value(area) AS area, c.x, c.y FROM cells c JOIN f_bedges e ON e.b_id = c.b_id AND (e.y1 > c.y) <> (e.y2 > c.y) AND c.x < e.x1 GROUP BY c.b_id, i, j, c.x, c.y HAVING count(*) % 2 = 1),
+  free AS (SELECT b_id, i, j, area, i * 1000 + j AS v FROM inside c WHERE NOT EXISTS (SELECT 1 FROM cov o WHERE o.b_id = c.b_id AND o.cx0 < c.x AND c.x < o.cx1 AND o.cy0 < c.y AND c.y < o.cy1)),
+  reach AS (SELECT b_id, v AS root, i, j FROM free UNION SELECT r.b_id, r.root, f.i, f.j FROM reach r JOIN free f ON f.b_id = r.b_id AND abs(f.i - r.i) + abs(f.j - r.j) = 1),
+  comp AS (SELECT b_id, i, j, min(root) AS c FROM reach GROUP BY 1, 2, 3), size AS (SELECT b_id, c, sum(area) AS area FROM comp JOIN free USING (b_id, i, j) GROUP BY 1, 2)
+  SELECT s.b_id, 'leftover' AS state, CAST(s.area AS BIGINT) AS area FROM size s JOIN f_bstat k ON k.b_id = s.b_id WHERE s.area > {LEAST_PIECE} AND s.area > {LEAST_SHARE} * k.area
+  UNION ALL SELECT b_id, 'unsplit', CAST(area AS BIGINT) FROM f_bstat WHERE b_id NOT IN (SELECT b_id FROM held)""")
+def _(t):
+    """What building parts leave over of their outlines, and outlines without parts."""
+    corner = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    parts = t.sql(PART_BOXES[1:-1]).withColumns({"rings": F.array(F.array(corner("px0", "py0"), corner("px1", "py0"), corner("px1", "py1"), corner("px0", "py1"))),
+                                               "px": (F.col("px0") + F.col("px1")) / 2, "py": (F.col("py0") + F.col("py1")) / 2})
+    _, unsplit, rest = sweep.outline_leftovers(t.polygons.select("place_id", "b_id", "rings"), parts, "b_id", "part_id", CHUNK, 50.0, SLACK, LEAST_PIECE, LEAST_SHARE)
+    alone = geo.with_ring_stats(unsplit).select("b_id", F.lit("unsplit").alias("state"), half_up(F.col("area")).alias("area"))
+    return rest.select("b_id", F.lit("leftover").alias("state"), half_up(F.col("area")).alias("area")).unionByName(alone)
+
+
 @query("volumes_in_outlines", f"""SELECT v.b_id, a.a_id FROM f_bstat v LEFT JOIN f_areas a ON v.place_id = a.place_id AND {IN_AREA.format(x='v.cx', y='v.cy')}""")
 def _(t):
     v = geo.with_ring_stats(t.polygons.select("place_id", "b_id", "rings")).select("place_id", "b_id", F.col("cx").alias("px"), F.col("cy").alias("py"))
