@@ -1,7 +1,7 @@
 """Contract and audit jobs: every check is a table of findings, empty when the data keeps its contract."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from placeloom.functions import shapes as sh
 from placeloom.operators import geometry as geo
@@ -117,6 +117,62 @@ def completeness_areas(expected: DataFrame, kept: DataFrame, res_area: float, lo
     return table, pieces
 
 
+def cell_pieces(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(place_id, keys, piece, cells, marked): connected groups of distinct cells (place_id, keys, ci, cj, mark), neighbours side by side. Runs of cells
+    in a row are the vertices, so the rounds work on as many rows as there are runs. `marked` counts the cells whose `mark` is true."""
+    group = ["place_id", *keys, "cj"]
+    stretch = F.col("ci") - F.row_number().over(Window.partitionBy(*group).orderBy("ci"))
+    runs = cells.withColumn("_s", stretch).groupBy(*group, "_s").agg(F.min("ci").alias("lo"), F.max("ci").alias("hi"), F.count("*").alias("cells"), F.count_if("mark").alias("marked"))
+    runs = cut_lineage(runs.withColumn("v", F.struct(*keys, "cj", "lo")).drop("_s"))
+    below = runs.select("place_id", *keys, (F.col("cj") + 1).alias("cj"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("v").alias("a"))
+    links = below.join(runs, group).filter("_lo <= hi AND lo <= _hi").select("place_id", "a", F.col("v").alias("b"))
+    named = runs.join(connected_components(runs.select("place_id", "v"), links).withColumnRenamed("component", "piece"), ["place_id", "v"])
+    return named.groupBy("place_id", *keys, "piece").agg(F.sum("cells").alias("cells"), F.sum("marked").alias("marked"))
+
+
+def completeness(expected: DataFrame, kept: DataFrame, res: float, tolerance: float, cell: float, least_lost: float, least_piece: float, least_share: float,
+                 most_fabricated: float) -> DataFrame:
+    """Findings (place_id, rank, finding, source, area, share) about ground that a dataset should have kept, on cells of side `res`.
+
+    `expected` are the source's elements (place_id, source, rank, rings), `kept` the dataset's areas (place_id, rank, rings); of layers that meet, the
+    lower rank keeps the ground, and ranks below 0 (water, collision) take ground from all. Findings:
+    - lost: a connected piece of one element of `least_lost` or more that no area of its rank or a lower one covers, beyond `tolerance` from
+      every edge that such an area (of rank 0 or more) kept: simplifying moves edges, it removes no ground elsewhere;
+    - missing piece: a connected piece of an expected layer (what its elements hold after lower ranks took theirs) of `least_piece` or more of
+      which less than `least_share` is kept at its rank or a lower one; `share` tells how much;
+    - fabricated: more than `most_fabricated` of a rank's ground farther than `tolerance` from every element of that rank.
+    """
+    from placeloom.operators.joins import binned_join, grow, near_polygon_join, point_box, segment_box, with_edges
+    from placeloom.operators.raster import CELL, centre, rasterize_polygons
+    drawn = lambda df, *cols: rasterize_polygons(with_edges(df.select("place_id", *cols, "rings")), res)
+    at = {"x": centre("ci", res), "y": centre("cj", res)}
+    wanted = cut_lineage(drawn(expected, "source", "rank").distinct())
+    ground = cut_lineage(drawn(kept, "rank").distinct())
+    # What holds a cell: its lowest rank, and the lowest that isn't taken from all.
+    holder = ground.groupBy(*CELL).agg(F.min("rank").alias("_any"), F.min(F.when(F.col("rank") >= 0, F.col("rank"))).alias("_own"))
+    unit = res * res
+    finding = lambda df, name, source, area, share: df.select("place_id", "rank", F.lit(name).alias("finding"), source.alias("source"), area.alias("area"), share.alias("share"))
+    none, source_type = F.lit(None).cast("double"), expected.schema["source"].dataType
+
+    open_cells = wanted.join(holder, CELL, "left").filter(F.col("_any").isNull() | (F.col("_any") > F.col("rank"))).select(*CELL, "source", "rank").withColumns(at)
+    edges = geo.edges(kept.filter("rank >= 0").select("place_id", F.col("rank").alias("_rank"), "rings")).select("place_id", "_rank", "x1", "y1", "x2", "y2")
+    near = sh.foot(F.col("x"), F.col("y"), *[F.col(c) for c in ("x1", "y1", "x2", "y2")])["d2"] <= tolerance * tolerance
+    beyond = binned_join(open_cells, edges, point_box(), grow(segment_box(), tolerance), cell, near & (F.col("_rank") <= F.col("rank")), how="left_anti", left_id=[*CELL, "source", "rank"])
+    lost = cell_pieces(beyond.withColumn("mark", F.lit(False)), ["source", "rank"]).withColumn("_area", F.col("cells") * unit).filter(F.col("_area") >= least_lost)
+
+    layer = wanted.groupBy(*CELL).agg(F.min("rank").alias("rank")).join(holder, CELL, "left").filter(F.coalesce(F.col("_any") >= 0, F.lit(True)))
+    pieces = cell_pieces(layer.withColumn("mark", F.coalesce(F.col("_own") <= F.col("rank"), F.lit(False))), ["rank"])
+    share = F.col("marked") / F.col("cells")
+    missing = pieces.withColumn("_area", F.col("cells") * unit).filter((F.col("_area") >= least_piece) & (share < least_share))
+
+    own = with_edges(expected.select("place_id", F.col("rank").alias("_rank"), "rings"))
+    extra = near_polygon_join(ground.filter("rank >= 0").withColumns(at), own, tolerance, cell, how="left_anti", left_id=[*CELL, "rank"], extra=F.col("_rank") == F.col("rank"))
+    fabricated = extra.groupBy("place_id", "rank").agg((F.count("*") * unit).alias("_area")).filter(F.col("_area") > most_fabricated)
+    nobody = F.lit(None).cast(source_type)
+    return (finding(lost, "lost", F.col("source"), F.col("_area"), none).unionByName(finding(missing, "missing piece", nobody, F.col("_area"), share))
+            .unionByName(finding(fabricated, "fabricated", nobody, F.col("_area"), none)))
+
+
 def scale_audit(pairs: DataFrame) -> DataFrame:
     """Measured against geodesic lengths: (id, lat1.., x1..y2 in metres) with error, tolerance max(0.10 m, 0.1 %) and verdict."""
     g = geo.geodesic_distances(pairs)

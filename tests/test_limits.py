@@ -76,3 +76,21 @@ def test_malformed_look_mixes_are_reported(spark):
     got = {r.id: r.settings for r in resolve.resolve_overrides(features, zones, own).collect()}
     assert got == {1: {"levels": "3"}, 2: {}, 3: {"style": "wood", "colour": "falu"}}
     assert sorted(tuple(r) for r in resolve.malformed_settings(zones).collect()) == [(1, "look_mix", "brick"), (2, "roof_look_mix", "a/b/c")]
+
+
+def test_completeness_findings_by_hand(spark):
+    """Metres, cells of 0.5: a meadow drawn 0.6 smaller, a path gone, a lawn half under a car park, one cut to a third, one that is invented, water over a wood."""
+    box = lambda x0, y0, x1, y1: [[(float(x), float(y)) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))]]
+    source = [("meadow", 3, box(0, 0, 40, 40)), ("path", 2, box(0, 60, 40, 62)), ("lawn", 5, box(100, 0, 120, 20)), ("yard", 5, box(200, 0, 230, 20)), ("wood", 6, box(300, 0, 320, 20))]
+    kept = [(3, box(0.6, 0.6, 39.4, 39.4)), (4, box(100, 0, 110, 20)), (5, box(110, 0, 120, 20)), (5, box(200, 0, 210, 20)), (-1, box(295, -5, 325, 25)), (4, box(400, 0, 402, 2))]
+    element, area = "place_id long, source string, rank int, rings array<array<struct<x: double, y: double>>>", "place_id long, rank int, rings array<array<struct<x: double, y: double>>>"
+
+    def found(source, kept):
+        out = audit.completeness(spark.createDataFrame([(1, *r) for r in source], element), spark.createDataFrame([(1, *r) for r in kept], area), 0.5, 0.8, 50.0, 25.0, 50.0, 0.5, 1.0)
+        return {(r.finding, r.rank, r.source): (r.area, r.share if r.share is None else round(r.share, 3)) for r in out.collect()}
+    got = found(source, kept)
+    # The yard's loss begins 0.8 beyond the edge kept at 210; the car park (rank 4) has no element of its own where the lawn was.
+    assert got == {("lost", 2, "path"): (80.0, None), ("missing piece", 2, None): (80.0, 0.0), ("lost", 5, "yard"): (20 * 19.0, None), ("missing piece", 5, None): (600.0, 0.333),
+                   ("fabricated", 4, None): (204.0, None)}
+    assert found([], kept[:1]) == {("fabricated", 3, None): (39.0 * 39.0, None)}
+    assert found(source[:1], []) == {("lost", 3, "meadow"): (1600.0, None), ("missing piece", 3, None): (1600.0, 0.0)}
