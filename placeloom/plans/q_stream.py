@@ -58,6 +58,25 @@ def _(t):
     return pk.room_roster(packets(t)).select("room", "sender", "seat", "host", "last_state")
 
 
+# A stay ends 8 hours after its last packet.
+STAYS = """(SELECT room, sender, min(ts) AS joined, max(ts) + INTERVAL 8 HOUR AS left_at, CAST(count(*) AS BIGINT) AS n, max(CASE WHEN type = 'state' THEN {'t': ts, 'e': event_id} END) AS l
+  FROM (SELECT *, sum(f) OVER (PARTITION BY room, sender ORDER BY ts ROWS UNBOUNDED PRECEDING) AS stay FROM (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 8 HOUR THEN 0 ELSE 1 END AS f FROM f_packets WINDOW w AS (PARTITION BY room, sender ORDER BY ts)) q) r GROUP BY room, sender, stay)"""
+
+
+@query("room_stays", f"SELECT room, sender, epoch_us(joined) AS joined_us, epoch_us(left_at) AS left_us, n, l.e AS last_state FROM {STAYS} s")
+def _(t):
+    return pk.room_stays(packets(t), "8 hours").select("room", "sender", F.unix_micros("joined").alias("joined_us"), F.unix_micros("left").alias("left_us"), "n", "last_state")
+
+
+# Host in each stretch between two moments of a room; stretches of one host that meet are a term.
+@query("room_hosts", f"""WITH s AS MATERIALIZED (SELECT room, sender, epoch_us(joined) AS a, epoch_us(left_at) AS b FROM {STAYS} q), m AS (SELECT room, tm, lead(tm) OVER (PARTITION BY room ORDER BY tm) AS nxt FROM (SELECT room, a AS tm FROM s UNION SELECT room, b FROM s) u),
+  h AS (SELECT m.room, m.tm, m.nxt, arg_min({{'s': s.sender, 'a': s.a}}, {{'a': s.a, 's': s.sender}}) AS host FROM m JOIN s ON s.room = m.room AND s.a <= m.tm AND m.tm < s.b GROUP BY 1, 2, 3),
+  g AS (SELECT *, sum(f) OVER (PARTITION BY room ORDER BY tm ROWS UNBOUNDED PRECEDING) AS term FROM (SELECT *, CASE WHEN lag(host) OVER w = host AND lag(nxt) OVER w = tm THEN 0 ELSE 1 END AS f FROM h WINDOW w AS (PARTITION BY room ORDER BY tm)) q)
+  SELECT room, host.s AS sender, min(tm) AS since_us, max(nxt) AS until_us FROM g GROUP BY room, host.s, term""")
+def _(t):
+    return pk.room_hosts(pk.room_stays(packets(t), "8 hours"))
+
+
 DEATHS = f"SELECT sender, life, event_id FROM (SELECT *, row_number() OVER (PARTITION BY sender, life ORDER BY ts, event_id) AS rn FROM (SELECT *, {K} % 10 AS life FROM f_packets WHERE type = 'death') q) r WHERE rn = 1"
 
 

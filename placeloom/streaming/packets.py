@@ -85,6 +85,30 @@ def room_roster(packets: DataFrame, cap: int = 8) -> DataFrame:
     return ranked.withColumn("host", F.col("seat") == 1)
 
 
+def room_stays(packets: DataFrame, gap: str, time: str = "ts") -> DataFrame:
+    """Stays (room, sender, joined, left, n, last_state) of senders in rooms: a sender joins with a packet and leaves when `gap` has passed without another.
+
+    The same on a batch and on a stream. A stream needs a watermark: it writes a stay when the mark passes its end and forgets it then, so its
+    state holds those who are present and no others. Packets without a time are left out; a NULL room is a room."""
+    newest = F.max_by("event_id", F.when(F.col("type") == "state", F.struct(time, "event_id")))
+    stays = packets.groupBy("room", "sender", F.session_window(time, gap).alias("s")).agg(F.count("*").alias("n"), newest.alias("last_state"))
+    return stays.select("room", "sender", F.col("s.start").alias("joined"), F.col("s.end").alias("left"), "n", "last_state")
+
+
+def room_hosts(stays: DataFrame) -> DataFrame:
+    """Terms (room, sender, since_us, until_us) of the hosts of each room: of those present the one who joined first, of equal times the lowest sender.
+
+    Whoever comes after others is host from the last leaving of all of them to the own leaving; that is a running maximum over the order of joining."""
+    from placeloom.operators.scale import running_min
+    times = stays.select("room", "sender", F.unix_micros("joined").alias("joined"), F.unix_micros("left").alias("left"))
+    order = spread_row_number(times, ["room"], ["joined", "sender"], "k")
+    ends = running_min(order, ["room"], "k", -F.col("left"), "_low")
+    later = with_next(ends, ["room"], "k", ["_low", "sender", "joined", "left"])
+    later = later.select("room", F.col("next_sender").alias("sender"), F.greatest("next_joined", -F.col("_low")).alias("since_us"), F.col("next_left").alias("until_us"))
+    first = ends.filter("k = 1").select("room", "sender", F.col("joined").alias("since_us"), F.col("left").alias("until_us"))
+    return first.unionByName(later.filter("since_us < until_us"))
+
+
 def interpolate_states(states: DataFrame, probes: DataFrame, stale_ms: float) -> DataFrame:
     """Pose of each probe (sender, probe_id, at_ms): between the two samples (event_id, t_ms, x, heading) round it, heading the
     short way; `stale` when the newest sample before it is older than `stale_ms`.

@@ -262,3 +262,21 @@ def test_similarity_fit_about_the_origin(spark):
     assert math.isclose(got[1].mean_residual, sum(math.hypot(u - x, v - y) for _, x, y, u, v in turned) / 3)
     assert got[2].scale is None and not got[2].passed and math.isclose(got[2].max_residual, 0.5)
     assert got[3].passed and got[3].scale == 1
+
+
+def test_members_leave_rooms_on_a_stream(spark, tmp_path):
+    at = lambda h, m=0: datetime.datetime(2024, 1, 1, h, m)
+    rows = [(1, at(0), 1, 7, "join", 0), (2, at(0, 5), 1, 7, "state", 0), (3, at(0, 2), 1, 8, "state", 0), (4, at(0, 2), None, 8, "hit", 0), (5, at(3), 1, 9, "state", 1), (6, at(3, 1), 1, 7, "hit", 1),
+            (7, at(6), 1, 9, "hit", 2), (8, at(6, 4), 2, 7, "state", 2), (9, None, 2, 7, "state", 2)]
+    packets = spark.createDataFrame(rows, "event_id long, ts timestamp, room long, sender long, type string, delivery int")
+    batch = [tuple(r) for r in pk.room_stays(packets, "10 minutes").collect()]
+    assert (1, 7, at(0), at(0, 15), 2, 2) in batch and (None, 8, at(0, 2), at(0, 12), 1, None) in batch and len(batch) == 7
+    out, counts = run.run_deliveries(spark, packets, "delivery", lambda s: pk.room_stays(s.withWatermark("ts", "5 minutes"), "10 minutes"), str(tmp_path / "a"), state_rows="held")
+    # Who sent at three is gone at six; only those who sent last are still held.
+    text = lambda rows: sorted(map(str, rows))
+    assert text(tuple(r) for r in out.collect()) == text(r for r in batch if r[2] < at(6))
+    assert [(r.delivery, r.held) for r in counts.orderBy("delivery").collect()] == [(0, 3), (1, 2), (2, 2)]
+    stays = spark.createDataFrame([(1, 5, at(1), at(4)), (1, 6, at(1), at(3)), (1, 7, at(2), at(9)), (1, 8, at(3), at(8)), (1, 5, at(10), at(11))], "room long, sender long, joined timestamp, left timestamp")
+    us = lambda d: int(d.timestamp() * 1e6)
+    assert sorted(map(tuple, pk.room_hosts(stays).collect())) == sorted([(1, 5, us(at(1)), us(at(4))), (1, 7, us(at(4)), us(at(9))), (1, 5, us(at(10)), us(at(11)))])
+    assert pk.room_hosts(stays.limit(0)).count() == 0
