@@ -44,6 +44,39 @@ def list_buildings(buildings: DataFrame, segments: DataFrame, focus: float, limi
     return top_k(rows, ["place_id", "street"], [F.floor(F.col("distance") * 10 + 0.5), -F.col("area"), F.col("b_id")], limit)
 
 
+def find_buildings(buildings: DataFrame, asks: DataFrame, radius: float, limit: int, cell: float) -> DataFrame:
+    """Buildings that fit each ask: (place_id, ask, b_id, rank_no, distance, area).
+
+    An ask (place_id, ask, x, y, id, name) names a position, an id, a part of a name or several of them; NULL asks for nothing, and an ask without any
+    of the three finds all of its place. By position: footprints that reach within `radius`, nearest centroid first; without one the distance is
+    0 and the larger come first. Case doesn't count in names. `buildings` (place_id, b_id, name, rings, cx, cy, area); the best `limit` per ask."""
+    from placeloom.operators.joins import near_polygon_join, with_edges
+    from placeloom.operators.scale import top_k
+    own = ["b_id", "name", "cx", "cy", "area"]
+    sought = asks.select("place_id", "ask", "x", "y", F.col("id").alias("_id"), F.lower("name").alias("_name"))
+    placed = F.col("x").isNotNull() & F.col("y").isNotNull()
+    by_place = near_polygon_join(sought.filter(placed), with_edges(buildings.select("place_id", *own, "rings")), radius, cell)
+    flat = buildings.select("place_id", *own)
+    by_id = sought.filter(~placed & F.col("_id").isNotNull()).join(flat, [sought.place_id == flat.place_id, F.col("_id") == F.col("b_id")]).drop(flat.place_id)
+    by_name = sought.filter(~placed & F.col("_id").isNull()).join(flat, "place_id")
+    fits = (F.col("_id").isNull() | (F.col("_id") == F.col("b_id"))) & (F.col("_name").isNull() | F.coalesce(F.contains(F.lower("name"), F.col("_name")), F.lit(False)))
+    columns = ["place_id", "ask", "x", "y", "_id", "_name", *own]
+    found = by_place.select(columns).unionByName(by_id.select(columns)).unionByName(by_name.select(columns)).filter(fits)
+    dx, dy = F.col("cx") - F.col("x"), F.col("cy") - F.col("y")
+    rows = found.select("place_id", "ask", "b_id", F.coalesce(F.sqrt(dx * dx + dy * dy), F.lit(0.0)).alias("distance"), "area")
+    return top_k(rows, ["place_id", "ask"], [F.floor(F.col("distance") * 10 + 0.5), -F.col("area"), F.col("b_id")], limit)
+
+
+def camera(view_x: Column, view_y: Column, cx: Column, cy: Column, height: Column, gap: Column, unit: float = 1.0) -> Column:
+    """STRUCT<x, y> a step back from a view point, away from the centroid, so that a building `gap` away fits the frame: 1.4 heights from
+    it, 40 m at most. `unit` is one metre in the units of all lengths."""
+    dx, dy = cx - view_x, cy - view_y
+    length = F.sqrt(dx * dx + dy * dy)
+    back = F.greatest(F.lit(0.0), F.least(F.lit(40.0 * unit), height * 1.4) - gap)
+    step = F.coalesce(back / F.nullif(length, F.lit(0.0)), F.lit(0.0))
+    return F.struct((view_x - dx * step).alias("x"), (view_y - dy * step).alias("y"))
+
+
 def top_landmarks(landmarks: DataFrame, k: int) -> DataFrame:
     from placeloom.operators.scale import top_k
     return top_k(landmarks, ["place_id"], [F.col("area").desc(), F.col("id")], k)

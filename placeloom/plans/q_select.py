@@ -45,6 +45,22 @@ def _(t):
     return out.select("place_id", "street", "b_id", "rank_no", half_up(F.col("distance") * 10).alias("d_mm"), F.col("area").cast("bigint").alias("area"), half_up(F.col("view_x")).alias("view_x"), half_up(F.col("view_y")).alias("view_y"))
 
 
+# Asks of three kinds: near a position, by a part of a name (and near a position), by id.
+ASKS = """(SELECT place_id, pt_id AS ask, CASE WHEN pt_id % 4 < 2 THEN x END AS x, CASE WHEN pt_id % 4 < 2 THEN y END AS y,
+  CASE WHEN pt_id % 4 = 3 THEN place_id * 80 + pt_id % 80 END AS id, CASE WHEN pt_id % 4 IN (1, 2) THEN CASE pt_id % 3 WHEN 0 THEN 'RING' WHEN 1 THEN 'widg' ELSE 'Bolt' END END AS name FROM f_points)"""
+
+
+@query("find_buildings", f"""WITH a AS MATERIALIZED (SELECT *, lower(name) AS part FROM {ASKS} q), p AS (SELECT * FROM a WHERE x IS NOT NULL),
+  pairs AS (SELECT ask, b_id FROM {poly_dist_sql('p', ['ask'])} z WHERE inside OR d2 <= 7000.0 * 7000 UNION ALL SELECT ask, b_id FROM a JOIN f_buildings b ON b.place_id = a.place_id WHERE x IS NULL),
+  f AS (SELECT a.place_id, a.ask, b.b_id, k.area, CASE WHEN a.x IS NULL THEN 0 ELSE sqrt(pow(k.cx - a.x, 2) + pow(k.cy - a.y, 2)) END AS d FROM pairs JOIN a ON a.ask = pairs.ask JOIN f_buildings b ON b.b_id = pairs.b_id JOIN f_bstat k ON k.b_id = b.b_id
+    WHERE (a.id IS NULL OR a.id = b.b_id) AND (a.part IS NULL OR contains(lower(b.name), a.part)))
+  SELECT place_id, ask, b_id, CAST(rn AS INTEGER) AS rank_no, CAST(floor(d * 10 + 0.5) AS BIGINT) AS d_mm FROM (SELECT *, row_number() OVER (PARTITION BY place_id, ask ORDER BY floor(d * 10 + 0.5), -area, b_id) AS rn FROM f) q WHERE rn <= 40""")
+def _(t):
+    stats = geo.with_ring_stats(t.polygons.select("place_id", "b_id", "name", "rings")).select("place_id", "b_id", "name", "rings", "cx", "cy", "area")
+    out = sel.find_buildings(stats, t.sql(ASKS[1:-1]), 7000.0, 40, CHUNK)
+    return out.select("place_id", "ask", "b_id", "rank_no", half_up(F.col("distance") * 10).alias("d_mm"))
+
+
 @query("top_landmarks", "SELECT place_id, b_id AS id, CAST(rn AS INTEGER) AS rank_no FROM (SELECT b.place_id, b.b_id, row_number() OVER (PARTITION BY b.place_id ORDER BY area DESC, b.b_id) AS rn FROM f_buildings b JOIN f_bstat s ON s.b_id = b.b_id WHERE name IS NOT NULL) q WHERE rn <= 5")
 def _(t):
     named = geo.with_ring_stats(t.polygons.filter("name IS NOT NULL").select("place_id", F.col("b_id").alias("id"), "rings")).select("place_id", "id", "area")

@@ -94,3 +94,19 @@ def test_completeness_findings_by_hand(spark):
                    ("fabricated", 4, None): (204.0, None)}
     assert found([], kept[:1]) == {("fabricated", 3, None): (39.0 * 39.0, None)}
     assert found(source[:1], []) == {("lost", 3, "meadow"): (1600.0, None), ("missing piece", 3, None): (1600.0, 0.0)}
+
+
+def test_buildings_are_found_by_position_name_and_id(spark):
+    from placeloom.operators import select
+    box = lambda x, y, side: [[(x, y), (x + side, y), (x + side, y + side), (x, y + side)]]
+    rows = [(1, 1, "Old Mill", box(0.0, 0.0, 10.0)), (1, 2, "mill house", box(50.0, 0.0, 20.0)), (1, 3, None, box(12.0, 0.0, 4.0)), (2, 1, "Mill", box(0.0, 0.0, 10.0))]
+    stats = geo.with_ring_stats(spark.createDataFrame(rows, "place_id long, b_id long, name string, rings array<array<struct<x: double, y: double>>>"))
+    stats = stats.select("place_id", "b_id", "name", "rings", "cx", "cy", "area")
+    asks = [(1, 1, 11.0, 5.0, None, None), (1, 2, None, None, None, "MILL"), (1, 3, None, None, 3, None), (1, 4, 11.0, 5.0, None, "mill"), (1, 5, None, None, 1, "house"), (2, 6, None, None, None, None), (1, 7, None, None, None, None)]
+    shape = "place_id long, ask long, x double, y double, id long, name string"
+    out = select.find_buildings(stats, spark.createDataFrame(asks, shape), 5.0, 2, 30.0)
+    assert sorted((r.ask, r.rank_no, r.b_id) for r in out.collect()) == [(1, 1, 3), (1, 2, 1), (2, 1, 2), (2, 2, 1), (3, 1, 3), (4, 1, 1), (6, 1, 1), (7, 1, 2), (7, 2, 1)]
+    assert select.find_buildings(stats, spark.createDataFrame([], shape), 5.0, 2, 30.0).count() == 0
+    views = [(0.0, 0.0, 0.0, 10.0, 10.0, 4.0), (0.0, 0.0, 3.0, 4.0, 100.0, 5.0), (0.0, 0.0, 0.0, 9.0, 1.0, 5.0), (2.0, 2.0, 2.0, 2.0, 10.0, 0.0)]
+    shots = spark.createDataFrame(views, "vx double, vy double, cx double, cy double, h double, gap double").select(select.camera(*[F.col(c) for c in ("vx", "vy", "cx", "cy", "h", "gap")]).alias("c")).collect()
+    assert [(round(r.c.x, 9), round(r.c.y, 9)) for r in shots] == [(0.0, -10.0), (-21.0, -28.0), (0.0, 0.0), (2.0, 2.0)]
