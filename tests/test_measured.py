@@ -1,4 +1,9 @@
-"""Broadcasts go by measured sizes."""
+"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves."""
+import math
+
+from pyspark.sql import functions as F
+
+from placeloom.operators import joins
 from placeloom.plans.catalog import QUERIES
 from placeloom.session import broadcast_measured
 
@@ -19,3 +24,17 @@ def test_the_limit_of_the_session_stays(spark):
     for _ in range(2):
         broadcast_measured(other)
         assert (other.conf.get(planned), other.conf.get(measured)) == ("-1", "262144")
+
+
+def test_only_near_candidates_are_joined(spark):
+    targets = [(0, 40 * i + j, 100.0 * i, 100.0 * j) for i in range(40) for j in range(40)]
+    points = [(0, k, 61.0 * k % 3900, 37.0 * k % 3900) for k in range(50)] + [(0, 50, 1e6, 5.0)]
+    p = spark.createDataFrame(points, "place_id int, p int, x double, y double")
+    t = spark.createDataFrame(targets, "place_id int, t int, tx double, ty double")
+    at = F.col("tx"), F.col("ty")
+    seen = {r.p: r.n for r in joins.knn_candidates(p, t, ["p"], 3, 50.0, None, ["place_id"], "x", "y", at, [*at, *at]).groupBy("p").agg(F.count("*").alias("n")).collect()}
+    assert max(n for k, n in seen.items() if k < 50) <= 40
+    got = {(r.p, r.rank_no): r.t for r in joins.knn_join(p, t, ["p"], ["t"], 3, 50.0).collect()}
+    for _, k, x, y in points:
+        best = sorted((math.fsum(((tx - x) ** 2, (ty - y) ** 2)), n) for _, n, tx, ty in targets)[:3]
+        assert [got[k, r] for r in (1, 2, 3)] == [n for _, n in best]
