@@ -1,9 +1,9 @@
-"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves."""
+"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves, lost pieces by runs of cells."""
 import math
 
 from pyspark.sql import functions as F
 
-from placeloom.operators import joins
+from placeloom.operators import audit, joins
 from placeloom.plans.catalog import QUERIES
 from placeloom.session import broadcast_measured
 
@@ -38,3 +38,13 @@ def test_only_near_candidates_are_joined(spark):
     for _, k, x, y in points:
         best = sorted((math.fsum(((tx - x) ** 2, (ty - y) ** 2)), n) for _, n, tx, ty in targets)[:3]
         assert [got[k, r] for r in (1, 2, 3)] == [n for _, n in best]
+
+
+def test_lost_pieces_by_hand(spark):
+    ring = [(ci, cj) for ci in range(4) for cj in range(4) if not (ci in (1, 2) and cj in (1, 2))]
+    rows = [(1, "a", *c) for c in ring] + [(1, "a", 4, 4), (1, "b", 4, 0), (2, "a", 4, 0)] + [(1, "a", 9, cj) for cj in range(3)]
+    expected = spark.createDataFrame(rows, "place_id int, class string, ci int, cj int")
+    kept = spark.createDataFrame([(1, "a", 9, 1), (2, "b", 4, 0)], expected.schema)
+    pieces = sorted(tuple(r) for r in audit.lost_pieces(expected, kept, 2.0, 2.0).select("place_id", "class", "area").collect())
+    assert pieces == [(1, "a", 2.0), (1, "a", 2.0), (1, "a", 2.0), (1, "a", 24.0), (1, "b", 2.0), (2, "a", 2.0)]
+    assert sorted(tuple(r) for r in audit.cell_accounting(expected, kept).collect()) == [(1, "a", 16, 1, 15, 0), (1, "b", 1, 0, 1, 0), (2, "a", 1, 0, 1, 0), (2, "b", 0, 1, 0, 1)]
