@@ -14,7 +14,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, Stru
 
 from placeloom.functions.catalogs import PACKET_TYPES
 from placeloom.functions.shapes import clamp
-from placeloom.operators.scale import spread_row_number, top_k, with_next
+from placeloom.operators.scale import _with_offsets, spread_row_number, top_k, with_next
 
 POSE = StructType([StructField(n, DoubleType()) for n in ("x", "z", "heading", "speed")])
 DATA = StructType([StructField("t", DoubleType()), StructField("vehicle", StringType()), StructField("pose", POSE), StructField("health", DoubleType()), StructField("life", DoubleType())])
@@ -217,60 +217,53 @@ STRETCH = 1024
 def _starts(maps: DataFrame, keys: list[str], depth: int) -> DataFrame:
     """State before each stretch, from the stretches' maps (keys, _b, after). Maps of 1024 stretches are composed into one
     map first, `depth` times, so the last chain per key is short: 10^9 samples leave a thousand maps."""
-    types = {f.name: f.dataType for f in maps.schema.fields}
-    head = [StructField(k, types[k]) for k in keys]
-    out_schema = StructType([*head, StructField("_b", LongType()), StructField("start", LongType())])
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("_b")
-        state, out = int(rows["_s"].iloc[0]) if "_s" in rows else 0, []
-        for after in rows["after"]:
-            out.append(state)
-            state = int(after[state])
-        return rows[[*keys, "_b"]].assign(start=out)
-    if depth == 0:
-        return maps.groupBy(*keys).applyInPandas(chain, out_schema)
-    grouped = maps.withColumn("_p", F.floor(F.col("_b") / STRETCH))
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("_b")
-        states = list(range(len(rows["after"].iloc[0])))
-        for after in rows["after"]:
-            states = [int(after[s]) for s in states]
-        return pd.DataFrame([(*[rows[k].iloc[0] for k in keys], int(rows["_p"].iloc[0]), states)], columns=[*keys, "_b", "after"])
-    upper = grouped.groupBy(*keys, "_p").applyInPandas(compose, StructType([*head, StructField("_b", LongType()), StructField("after", ArrayType(LongType()))]))
-    start = _starts(upper, keys, depth - 1).withColumnsRenamed({"_b": "_p", "start": "_s"})
-    return grouped.join(start, [*keys, "_p"]).groupBy(*keys, "_p").applyInPandas(chain, out_schema)
+    group = [*keys, "_p"] if depth else keys
+    spread = maps.withColumn("_p", F.floor(F.col("_b") / STRETCH)) if depth else maps
+    lists = spread.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_b", "after"))).alias("_m"))
+    zero = F.lit(0).cast("bigint")
+    if depth:
+        start = F.transform(F.get("_m", F.lit(0))["after"], lambda _, k: k.cast("bigint"))
+        whole = F.aggregate("_m", start, lambda acc, m: F.transform(acc, lambda s: F.get(m["after"], s.cast("int"))))
+        upper = _starts(lists.select(*keys, F.col("_p").alias("_b"), whole.alias("after")), keys, depth - 1).withColumnsRenamed({"_b": "_p", "start": "_s"})
+        lists = _with_offsets(lists, upper, group)
+    first = F.struct((F.col("_s") if depth else zero).alias("s"), F.slice(F.transform("_m", lambda m: zero), 1, 0).alias("out"))
+    chain = F.aggregate("_m", first, lambda acc, m: F.struct(F.get(m["after"], acc["s"].cast("int")).alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out")), lambda acc: acc["out"])
+    return lists.select(*keys, F.explode(F.arrays_zip(F.col("_m._b").alias("_b"), chain.alias("start"))).alias("_q")).select(*keys, "_q._b", "_q.start")
 
 
 def hysteresis_runs(samples: DataFrame, keys: list[str], order: str, states: int, step) -> DataFrame:
     """Replay `state = step(state, value)` along dense `order` per key without gathering a key in one task.
 
     A step is a function on a few states, so a stretch of samples is the map {state before: state after}. Stretches of 1024
-    samples are folded in parallel, the small maps are chained, then each stretch is replayed from its start.
+    samples are folded in parallel, the small maps are chained, then each stretch is replayed from its start. A stretch is a
+    row with its samples as a list, so Python gets many of them in one batch.
     `samples(keys..., order, value)`; `step(state, value)` is plain Python used inside Arrow batches."""
-    block = samples.withColumn("_b", F.floor(F.col(order) / STRETCH))
-    types = {f.name: f.dataType for f in block.schema.fields}
-    head = [StructField(k, types[k]) for k in keys]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        values, after = pdf.sort_values(order)["value"].tolist(), []
-        for state in range(states):
-            for v in values:
+    @F.pandas_udf("array<bigint>")
+    def folded(values: pd.Series) -> pd.Series:
+        def fold(run):
+            after = []
+            for state in range(states):
+                for v in run:
+                    state = int(step(state, v))
+                after.append(state)
+            return after
+        return values.map(lambda run: fold(run.tolist()))
+
+    @F.pandas_udf("array<bigint>")
+    def replayed(values: pd.Series, start: pd.Series) -> pd.Series:
+        def replay(run, state):
+            out = []
+            for v in run:
                 state = int(step(state, v))
-            after.append(state)
-        return pd.DataFrame([(*[pdf[k].iloc[0] for k in keys], int(pdf["_b"].iloc[0]), after)], columns=[*keys, "_b", "after"])
-    maps = block.groupBy(*keys, "_b").applyInPandas(fold, StructType([*head, StructField("_b", LongType()), StructField("after", ArrayType(LongType()))]))
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(order)
-        state, out = int(rows["start"].iloc[0]), []
-        for v in rows["value"]:
-            state = int(step(state, v))
-            out.append(state)
-        return rows[[*keys, order]].assign(state=out)
-    started = block.join(_starts(maps, keys, 1), [*keys, "_b"])
-    return started.groupBy(*keys, "_b").applyInPandas(replay, StructType([*head, StructField(order, types[order]), StructField("state", LongType())]))
+                out.append(state)
+            return out
+        return pd.Series([replay(run.tolist(), state) for run, state in zip(values, start)])
+
+    block = samples.withColumn("_b", F.floor(F.col(order) / STRETCH))
+    lists = block.groupBy(*keys, "_b").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("n"), F.col("value").alias("v")))).alias("_r"))
+    starts = _starts(lists.select(*keys, "_b", folded(F.col("_r.v")).alias("after")), keys, 1)
+    done = _with_offsets(lists, starts, [*keys, "_b"]).withColumn("_o", replayed(F.col("_r.v"), F.col("start")))
+    return done.select(*keys, F.explode(F.arrays_zip(F.col("_r.n").alias("n"), F.col("_o").alias("state"))).alias("_q")).select(*keys, F.col("_q.n").alias(order), "_q.state")
 
 
 def lod_levels(samples: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves, lost pieces by runs of cells."""
+"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves, lost pieces by runs of cells, replays by lists of samples."""
 import math
 
 from pyspark.sql import functions as F
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from placeloom.operators import audit, joins
 from placeloom.plans.catalog import QUERIES
 from placeloom.session import broadcast_measured
+from placeloom.streaming import packets as pk
 
 
 def test_exploded_cells_are_not_broadcast_by_estimate(spark, tmp_path):
@@ -48,3 +49,21 @@ def test_lost_pieces_by_hand(spark):
     pieces = sorted(tuple(r) for r in audit.lost_pieces(expected, kept, 2.0, 2.0).select("place_id", "class", "area").collect())
     assert pieces == [(1, "a", 2.0), (1, "a", 2.0), (1, "a", 2.0), (1, "a", 24.0), (1, "b", 2.0), (2, "a", 2.0)]
     assert sorted(tuple(r) for r in audit.cell_accounting(expected, kept).collect()) == [(1, "a", 16, 1, 15, 0), (1, "b", 1, 0, 1, 0), (2, "a", 1, 0, 1, 0), (2, "b", 0, 1, 0, 1)]
+
+
+def test_replay_in_lists_of_samples(spark, monkeypatch):
+    """Stretches of 4 samples in groups of 4, NULL keys and values, no Python call per key."""
+    monkeypatch.setattr(pk, "STRETCH", 4)
+    values = {(k if k else None, tile): [float((k * 37 + tile * 11 + n * n * 29) % 240) if n % 13 else None for n in range(1, 60 + 7 * k)] for k in range(5) for tile in (0, 1)}
+    rows = [(*key, n, v) for key, vs in values.items() for n, v in enumerate(vs, 1)]
+    df = spark.createDataFrame(rows, "viewer long, tile long, n long, value double").repartition(5)
+    for run, step in ((pk.interest_tiles, pk.next_loaded), (pk.lod_levels, pk.next_level)):
+        out = run(df, ["viewer", "tile"], "n")
+        assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.viewer, r.tile, r.n): r.state for r in out.collect()}
+        assert len(got) == len(rows)
+        for key, vs in values.items():
+            state = 0
+            for n, v in enumerate(vs, 1):
+                state = int(step(state, math.nan if v is None else v))
+                assert got[(*key, n)] == state
