@@ -1,9 +1,10 @@
-"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves, lost pieces by runs of cells, replays by lists of samples."""
+"""Broadcasts go by measured sizes, nearest candidates by the distance their level proves, lost pieces by runs of cells, replays by lists of samples,
+assets spread over blocks."""
 import math
 
 from pyspark.sql import functions as F
 
-from placeloom.operators import audit, joins
+from placeloom.operators import audit, joins, resolve
 from placeloom.plans.catalog import QUERIES
 from placeloom.session import broadcast_measured
 from placeloom.streaming import packets as pk
@@ -67,3 +68,21 @@ def test_replay_in_lists_of_samples(spark, monkeypatch):
             for n, v in enumerate(vs, 1):
                 state = int(step(state, math.nan if v is None else v))
                 assert got[(*key, n)] == state
+
+
+def test_buildings_of_one_level_are_spread(spark):
+    buildings = spark.createDataFrame([(k, k % 5, "house", "brick", "flat", "C") for k in range(200)], "b_id long, levels long, kind string, material string, roof_shape string, lod string")
+    assets = spark.createDataFrame([(1, "approved", "x", ["C", "A"], [], [], [], 1, 2), (2, "approved", "x", ["C"], ["wood"], [], [], 0, 9), (3, "draft", "x", ["C"], [], [], [], 0, 9), (4, "approved", "x", ["B"], [], [], [], 0, 9)],
+                                   "asset_id long, status string, evidence string, lods array<string>, materials array<string>, roof_shapes array<string>, kinds array<string>, min_levels long, max_levels long")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = resolve.asset_match(buildings, assets)
+        assert out.columns == [*buildings.columns, "asset_id"]
+        assert sorted((r.b_id, r.asset_id) for r in out.collect()) == [(k, 1) for k in range(200) if k % 5 in (1, 2)]
+        assert out.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
