@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.functions import shapes as sh
 from placeloom.operators import geometry as geo
+from placeloom.session import cut_lineage
 
 
 def resolve_anchors(anchors: DataFrame, aid: str, lines: DataFrame, buildings: DataFrame, areas: DataFrame) -> DataFrame:
@@ -85,16 +86,22 @@ def top_landmarks(landmarks: DataFrame, k: int) -> DataFrame:
 def spawn_point(lines: DataFrame, footprints: DataFrame, land: DataFrame, offsets: list[float], cell: float) -> DataFrame:
     """Where to start in each place: the best clear point at fixed offsets round each road's closest approach to the centre.
     Score (metres): distance - 40 when named - 30 on a main road - 2 * width. `lines` carry named, main, width (cm), pts."""
-    from placeloom.operators.joins import near_polygon_join, point_in_polygon_join
-    step = geo.locate_along(lines.withColumns({"_qx": F.lit(0.0), "_qy": F.lit(0.0)}), "_qx", "_qy").withColumn("_len", sh.line_length(F.col("pts")))
+    from placeloom.operators.joins import binned_join, grow, point_box, point_in_polygon_join, polygon_box
+    step = geo.locate_along(lines.withColumns({"_qx": F.lit(0.0), "_qy": F.lit(0.0)}), "_qx", "_qy")
+    # Lines are measured once, not at every try along them.
+    step = sh.once(step, _e=sh.measured_edges(F.col("pts"))).filter(F.size("_e") > 0).drop("pts")
+    last = F.element_at("_e", -1)
+    step = step.withColumn("_len", last["s"] + last["len"])
     tries = step.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(len(offsets) - 1))))
     s = F.least(F.greatest(F.col("located_s") + F.get(F.array(*[F.lit(float(o)) for o in offsets]), F.col("k")), F.lit(300.0)), F.col("_len") - 300)
     tries = sh.once(tries, s=s).filter("s > 0")
-    at = geo.interpolate_along(tries, F.col("s")).select("place_id", "way_id", "k", "named", "main", "width", F.col("at_x").alias("x"), F.col("at_y").alias("y"))
+    at = sh.once(tries, _at=sh.point_at(F.col("_e"), F.col("s"))).select("place_id", "way_id", "k", "named", "main", "width", "_at.x", "_at.y")
     key = ["place_id", "way_id", "k"]
     reach = F.col("width") / 2 + 50
-    blocked = near_polygon_join(at, footprints, 1200.0, cell, extra=sh.distance2_to_polygon(F.col("edges"), F.col("x"), F.col("y")) < reach * reach).select(*key).distinct()
-    clear = point_in_polygon_join(at.join(blocked, key, "left_anti"), land, cell, "left_semi", key)
+    # Land first: few tries lie on it, and they come out of that join with their columns, so the tries are made once.
+    held = cut_lineage(point_in_polygon_join(at, land, cell).select(*at.columns).dropDuplicates(key))
+    blocked = binned_join(held, footprints, grow(point_box(), reach), polygon_box(), cell, sh.distance2_to_polygon(F.col("edges"), F.col("x"), F.col("y")) < reach * reach).select(*key).distinct()
+    clear = held.join(blocked, key, "left_anti")
     score = (F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y")) / 100 - F.when(F.col("named"), 40).otherwise(0) - F.when(F.col("main"), 30).otherwise(0) - F.col("width") / 50)
     best = clear.groupBy("place_id").agg(F.min_by(F.struct("way_id", "k", "x", "y"), F.struct(F.floor(score * 1e6 + 0.5), "way_id", "k")).alias("b"))
     return best.select("place_id", "b.*")
