@@ -2,6 +2,7 @@
 from pyspark.sql import functions as F
 
 from placeloom.operators import audit, geometry as geo, joins, raster as ras, select as sel
+from placeloom.plans.catalog import QUERIES
 from placeloom.plans.views import Tables
 from placeloom.session import tune
 
@@ -31,6 +32,13 @@ def test_small_shuffles_are_not_put_together(spark):
     assert tasks_used(few) > 1
 
 
+def test_a_task_reads_a_small_share_of_a_shuffle(spark, tmp_path):
+    spark.range(50).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name")).write.parquet(f"{tmp_path}/part.parquet")
+    session = spark.newSession()
+    assert QUERIES["ring_area"](session, str(tmp_path)).count() == 50
+    assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
 def test_expressions_over_lines_are_evaluated_once(spark):
     lines = spark.createDataFrame([(0, 1, [(0.0, 0.0), (300.0, 0.0), (300.0, 400.0)])], "place_id int, way_id int, pts array<struct<x:double,y:double>>")
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
