@@ -17,6 +17,7 @@ START = -1  # context of a text's first token
 BATCH = 1 << 20  # words of a token batch: a worker holds one batch, with about 100 bytes a word
 BUCKET = 1 << 22  # words whose bigrams come to one bucket, about: a worker holds one bucket
 N_STATS = TOP + 2  # of a context: types seen once .. TOP times, all occurrences, and the base probability of its successors
+N_SENT = TOP + 3  # the same in whole numbers, which are exact and small when packed: the probability as types and the sum of their counts
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,11 @@ class Base:
     def of(self, count: np.ndarray) -> np.ndarray:
         return (count + 0.5) / (self.total + 0.5 * (self.kinds + 1))
 
+    def stats(self, sent: np.ndarray) -> np.ndarray:
+        """Rows of N_STATS numbers from rows of N_SENT."""
+        seen = (sent[:, TOP + 2] + 0.5 * sent[:, TOP + 1]) / (self.total + 0.5 * (self.kinds + 1))
+        return np.column_stack([sent[:, :TOP + 1], seen])
+
 
 def discounts(kinds: np.ndarray) -> np.ndarray:
     """Good-Turing factors of counts 1..TOP from `kinds[r - 1]`, the number of bigrams seen r times (r up to TOP + 1), in Katz's form.
@@ -137,7 +143,9 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = B
     base = Base(*(int(x or 0) for x in numbers.agg(F.sum("total"), F.sum("kinds")).first()))
     replies = numbers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "a", "b")).alias("numbers"))  # of one batch
     sent = ("batch", "words", "ids", "lengths", "doc_ids", "numbers")
-    shape = pa.schema([*((c, pa.int64()) for c in ("bucket", "batch")), *((c, pa.binary()) for c in ("v", "w", "count", "base", "hot"))])
+    known = stored(batches.join(replies, "batch").select(*sent), "known")
+    discard(batches, numbers)
+    shape = pa.schema([*((c, pa.int64()) for c in ("bucket", "batch")), *((c, pa.binary()) for c in ("v", "words", "w", "count", "base", "hot"))])
 
     def bigram_requests(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, *row, got in rows_of(parts, *sent):
@@ -146,15 +154,18 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = B
             v, w, cuts = b.bigrams(buckets, hot)
             counts = np.bincount(b.token, b.learnt, len(v)).astype(np.uint32)
             for k, at in cuts:
-                row_of = [k, batch, pack(np.diff(b.context[at], prepend=0)), pack(b.number[w[at]]), pack(counts[at]), pack(b.count[w[at]].astype(np.uint64)), pack(b.hot[at].astype(np.uint8))]
+                # Each word once with its training count, then places in that list.
+                own, first, place = np.unique(b.number[w[at]], return_index=True, return_inverse=True)
+                row_of = [k, batch, pack(np.diff(b.context[at], prepend=0)), pack(np.diff(own, prepend=0)), pack(place.astype(np.uint32)), pack(counts[at]), pack(b.count[w[at][first]]), pack(b.hot[at].astype(np.uint8))]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row_of, shape)], schema=shape)
 
-    asked = batches.join(replies, "batch").select(*sent).mapInArrow(bigram_requests, "bucket long, batch long, v binary, w binary, count binary, base binary, hot binary")
+    asked = known.mapInArrow(bigram_requests, "bucket long, batch long, v binary, words binary, w binary, count binary, base binary, hot binary")
 
     def count_bigrams(part: pa.Table) -> pa.Table:
         """Answers per batch: counts of its bigrams and stats of its contexts; sums of hot contexts and of counts of counts per bucket."""
         v = [np.cumsum(unpack(x, np.int64)) for x in part["v"].to_pylist()]
-        w, c, p, h = ([unpack(x, t) for x in part[n].to_pylist()] for n, t in (("w", np.int64), ("count", np.uint32), ("base", np.uint64), ("hot", np.uint8)))
+        own, w, c, p, h = ([unpack(x, t) for x in part[n].to_pylist()] for n, t in (("words", np.int64), ("w", np.uint32), ("count", np.uint32), ("base", np.int64), ("hot", np.uint8)))
+        w, p = [np.cumsum(x)[k] for x, k in zip(own, w)], [x[k] for x, k in zip(p, w)]
         lengths = [len(x) for x in v]
         vv, ww, pp, hh = (np.concatenate(x) for x in (v, w, p, h))
         order = np.lexsort((ww, vv))
@@ -165,11 +176,12 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = B
         one = order[new]
         total = np.bincount(kind, np.concatenate(c), len(one)).astype(np.int64)
         contexts, ctx = np.unique(vv[one], return_inverse=True)
-        stats = np.stack([*(np.bincount(ctx, total == r, len(contexts)) for r in range(1, TOP + 1)), np.bincount(ctx, total, len(contexts)), np.bincount(ctx, np.where(total > 0, base.of(pp[one].astype(float)), 0), len(contexts))], axis=1)
+        parts = [*(total == r for r in range(1, TOP + 1)), total, total > 0, np.where(total > 0, pp[one], 0)]
+        stats = np.stack([np.bincount(ctx, x, len(contexts)) for x in parts], axis=1).astype(np.int64)
         at, counts, rows = 0, [], []
         for n, own in zip(lengths, v):
             counts.append(pack(total[kind[at:at + n]].astype(np.uint32)))
-            rows.append(pack(stats[np.searchsorted(contexts, own[np.diff(own, prepend=own[0] - 1) != 0])].ravel()))
+            rows.append(pack(stats[np.searchsorted(contexts, own[np.diff(own, prepend=own[0] - 1) != 0])].T.ravel()))
             at += n
         warm = np.unique(vv[hh > 0])
         n = len(lengths)
@@ -182,11 +194,11 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = B
     table = stored(asked.groupBy("bucket").applyInArrow(count_bigrams, "batch long, bucket long, counts binary, stats binary, sums array<struct<v:long,s:array<double>>>, seen array<long>"), "bigrams")
     seen = table.agg(*[F.sum(F.col("seen")[r]) for r in range(TOP + 1)]).first()
     d = discounts(np.array([int(x or 0) for x in seen]))
-    hot_sums = table.select(F.explode("sums").alias("x")).groupBy("x.v").agg(F.array(*[F.sum(F.col("x.s")[k]) for k in range(N_STATS)]).alias("s"))
+    hot_sums = table.select(F.explode("sums").alias("x")).groupBy("x.v").agg(F.array(*[F.sum(F.col("x.s")[k]) for k in range(N_SENT)]).alias("s"))
     told = hot_sums.orderBy("v").collect()
-    hot_keys, hot_stats = np.array([r.v for r in told], np.int64), np.array([r.s for r in told]).reshape(-1, N_STATS)
+    hot_keys, hot_stats = np.array([r.v for r in told], np.int64), np.array([r.s for r in told]).reshape(-1, N_SENT)
     answers = table.groupBy("batch").agg(F.collect_list(F.struct("bucket", "counts", "stats")).alias("answers"))
-    whole = batches.join(replies, "batch").join(answers, "batch")
+    whole = known.join(answers, "batch")
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +212,10 @@ def katz_scores(docs: DataFrame, folds: int = 5, held_out: int = 1, hot: int = B
             for k, at in cuts:
                 own = b.context[at]
                 new = np.diff(own, prepend=own[0] - 1) != 0
-                stats = unpack(told[k]["stats"], np.float64).reshape(-1, N_STATS).copy()
+                stats = unpack(told[k]["stats"], np.int64).reshape(N_SENT, -1).T.astype(float)
                 spread = np.flatnonzero(b.hot[at][new])
                 stats[spread] = hot_stats[np.searchsorted(hot_keys, own[new][spread])]
+                stats = base.stats(stats)
                 scale, weight = context_weights(stats, d)
                 ctx, c = np.cumsum(new) - 1, unpack(told[k]["counts"], np.uint32).astype(float)
                 factor = np.where(c > TOP, 1.0, np.append(1.0, d)[np.minimum(c, TOP).astype(int)])

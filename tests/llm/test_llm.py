@@ -530,3 +530,15 @@ def test_lines_similar_is_exact():
         right.append([w if rng.random() < 0.8 else b"xyabc"[: int(rng.integers(1, 6))] for w in p][int(rng.integers(0, 2)) :])
     near = [lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in ((b" ".join(p), b" ".join(q)) for p, q in zip(left, right))]
     assert lines.similar_pairs(left, right, 0.8).tolist() == near
+
+
+def test_katz_keeps_one_copy_of_its_batches(spark, documents, monkeypatch):
+    """Of the tables between its steps only the batches with their word numbers and the bigrams' answers stay, and these are whole numbers."""
+    import os
+    paths, write = {}, katz.stored
+    monkeypatch.setattr(katz, "stored", lambda df, name: paths.update({name: (out := write(df, name)).stored_at}) or out)
+    out = katz.katz_scores(documents)
+    assert sorted(n for n, p in paths.items() if os.path.exists(p)) == ["bigrams", "known"]
+    assert out.count() == documents.count()
+    sent = np.array([[2, 1, 0, 0, 0, 4, 3, 9]])
+    assert katz.Base(20, 5).stats(sent).tolist() == [[2, 1, 0, 0, 0, 4, 10.5 / 23]]
