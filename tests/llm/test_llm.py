@@ -542,3 +542,24 @@ def test_katz_keeps_one_copy_of_its_batches(spark, documents, monkeypatch):
     assert out.count() == documents.count()
     sent = np.array([[2, 1, 0, 0, 0, 4, 3, 9]])
     assert katz.Base(20, 5).stats(sent).tolist() == [[2, 1, 0, 0, 0, 4, 10.5 / 23]]
+
+
+def test_words_of_letters_are_encoded_together():
+    code = tokens.Encoder(tokens.vocabulary())
+    words = ["straße", "ÉIER", "a", "x" * 300, "it's", "İx", "é", "12ab", "λμ", "</w>", "d", "s", "µm", *sorted({"".join(p) for p in zip("abcdefghij" * 40, "klmnopq" * 60, "rstuvwxyzñü" * 40)})]
+    given, tokenizer = [], code.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    code.tokenizer = Counted()
+    code.learn(words)
+    for w, n in code.known.items():
+        assert code.flat[code.start[n]:code.start[n] + code.length[n]].tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+    assert set(code.known) == set(words) and len(given) < len(words) / 10
+    code.known, code.closes = {}, np.zeros_like(code.closes)  # a vocabulary that doesn't mark the ends of words
+    code.clear()
+    code.learn(words)
+    assert all(code.flat[code.start[n]:code.start[n] + code.length[n]].tolist() == tokenizer.encode(w, add_special_tokens=False).ids for w, n in code.known.items())
