@@ -88,3 +88,15 @@ def test_span_cover_without_nested_lines(spark):
     assert audited.collect() == []
     assert {tuple(r) for r in audit.check_spans(short, spans.filter("span_no > 0").withColumn("span_no", F.col("span_no") - 1), 500.0, WORLD).collect()} == {(1, "cover")}
     assert audited._jdf.queryExecution().optimizedPlan().toString().count("part_no") == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    from placeloom.functions.scalars import fold_ascii
+    from placeloom.plans.catalog import QUERIES
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    QUERIES["slugs"](spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    rows = spark.createDataFrame([("Ünï ﬁ½",), (None,), ("",), ("日本",)], "t string").select(fold_ascii("t")).collect()
+    assert [r[0] for r in rows] == ["Uni fi12", None, "", ""]
