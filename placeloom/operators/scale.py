@@ -70,7 +70,8 @@ def spread_row_number(df: DataFrame, keys: list[str], order: list[str], out: str
     """row_number() over (keys order by order) without gathering a key in one task: a range sort over (keys, order)
     into a fixed number of partitions, numbering inside each partition, plus the counts of the partitions before."""
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("_p", F.spark_partition_id()))
+    # Sorting by range reads its rows twice.
+    placed = cut_lineage(cut_lineage(df).repartitionByRange(n, *keys, *order).withColumn("_p", F.spark_partition_id()))
     counts = placed.groupBy(*keys, "_p").agg(F.count("*").alias("_c"))
     ahead = W.partitionBy(*keys).orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_p", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_o"))

@@ -25,6 +25,27 @@ def test_cut_lineage_is_a_table(spark):
         assert sorted(map(str, out.collect())) == sorted(map(str, made.collect()))
 
 
+def test_numbering_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("id % 7 AS k", "id").mapInArrow(count, "k long, id long")
+    out = scale.spread_row_number(rows, ["k"], ["id"], "n")
+    assert out.filter("n <> id DIV 7 + 1").isEmpty() and out.count() == 1000 and seen.value == 1000
+
+
+def test_spans_of_edges_on_borders(spark):
+    """Edges that end on a border, lie on one, leave the world on its border, or cross several."""
+    lines = {1: [(0.0, 1.0), (6.0, 1.0), (12.0, 1.0)], 2: [(6.0, 0.0), (6.0, 12.0)], 3: [(5.0, 5.0), (13.0, 5.0)], 4: [(12.0, 3.0), (12.0, 5.0)], 5: [(1.0, 6.0), (0.0, 6.0), (-1.0, 6.0)]}
+    df = spark.createDataFrame([(k, [Row(x=x, y=y) for x, y in p]) for k, p in lines.items()], "id long, pts array<struct<x double, y double>>")
+    got = {r.id: [tuple(s) for s in r.spans] for r in geo.line_spans(df, 6.0, (0, 0, 12, 12)).collect()}
+    assert got == {1: [(0, 0, 0.0, 6.0), (1, 0, 6.0, 12.0)], 2: [(1, 0, 0.0, 6.0), (1, 1, 6.0, 12.0)], 3: [(0, 0, 0.0, 1.0), (1, 0, 1.0, 7.0)], 4: [], 5: [(0, 1, 0.0, 1.0)]}
+
+
 def test_parts_without_a_cross_join(spark):
     t = Tables(spark, SF)
     made = q_joins.part_boxes(t)
