@@ -25,6 +25,10 @@ def test_cut_lineage_is_a_table(spark):
         assert sorted(map(str, out.collect())) == sorted(map(str, made.collect()))
 
 
+def test_check_index_makes_members_once(spark):
+    assert plan(QUERIES["check_index"](spark, SF)).count("l_orderkey") == 0
+
+
 def test_numbering_reads_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
