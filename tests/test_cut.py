@@ -42,6 +42,17 @@ def test_numbering_reads_its_rows_once(spark):
     assert out.filter("n <> id DIV 7 + 1").isEmpty() and out.count() == 1000 and seen.value == 1000
 
 
+def test_lines_inside_a_box_are_not_clipped(spark, monkeypatch):
+    point = "array<struct<x double, y double>>"
+    inside = [(0.0, 0.0), (10.0, 0.0), (10.0, 0.0), (10.0, 10.0), (4.0, 10.0)]  # on the border, with a repeat
+    df = spark.createDataFrame([(1, [Row(x=x, y=y) for x, y in inside]), (2, [Row(x=5.0, y=5.0), Row(x=15.0, y=5.0), Row(x=15.0, y=6.0), Row(x=5.0, y=6.0)]), (3, [Row(x=5.0, y=5.0)] * 2)], f"id long, pts {point}")
+    got = lambda: {(r.id, r.part_no): ([(p.x, p.y) for p in r.part], r.part_len) for r in geo.clip_lines(df, (0, 0, 10, 10), 0.5).collect()}
+    whole = ([(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (4.0, 10.0)], 26.0)
+    assert got() == {(1, 0): whole, (2, 0): ([(5.0, 5.0), (10.0, 5.0)], 5.0), (2, 1): ([(10.0, 6.0), (5.0, 6.0)], 5.0)}
+    monkeypatch.setattr(geo, "clip_range", lambda e, box: (F.lit(False), F.lit(0.0), F.lit(1.0)))
+    assert got() == {(1, 0): whole}
+
+
 def test_spans_of_edges_on_borders(spark):
     """Edges that end on a border, lie on one, leave the world on its border, or cross several."""
     lines = {1: [(0.0, 1.0), (6.0, 1.0), (12.0, 1.0)], 2: [(6.0, 0.0), (6.0, 12.0)], 3: [(5.0, 5.0), (13.0, 5.0)], 4: [(12.0, 3.0), (12.0, 5.0)], 5: [(1.0, 6.0), (0.0, 6.0), (-1.0, 6.0)]}
