@@ -8,6 +8,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeloom.llm.store import stored
+from placeloom.session import broadcast_measured
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -53,6 +54,7 @@ def signatures(words: DataFrame, partitions: int = 4, segments: int = 3, distanc
 
 def near_words(words: DataFrame, partitions: int = 4, segments: int = 3) -> DataFrame:
     """(a, b), each pair once: words of `words(word)` that differ by exactly one inserted, deleted or replaced code point."""
+    broadcast_measured(words.sparkSession)  # a plan takes the signatures for as small as the words
     entries = signatures(words, partitions, segments)
     left = entries.filter("later = 0").select("key", F.col("word").alias("a"))
     right = entries.select("key", F.col("word").alias("b"), "later")
@@ -68,6 +70,7 @@ def spelling_variants(words: DataFrame, ratio: int = 5, partitions: int = 4, seg
     follows from the largest n.
 
     Words of fewer than 3 letters are met like others; an empty table gives no rows; NULL words are ignored."""
+    broadcast_measured(words.sparkSession)
     words = stored(words.filter("word IS NOT NULL").select("word", "n"), "words")
     pairs = stored(near_words(words.select("word"), partitions, segments), "near_words")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("other")))

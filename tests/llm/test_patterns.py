@@ -157,6 +157,14 @@ def test_variant_query(spark, awkward, empty):
     assert raw["ÉÉÉÉÉÉ"] == 2 and raw["éééééé"] == 2 and raw["straße"] == 2
 
 
+def test_signatures_are_not_broadcast_by_estimate(spark):
+    """Words of few bytes have 36 signatures each, which a plan doesn't count."""
+    words = table(spark.newSession(), [(f"word{k:04}",) for k in range(200)], "word string")
+    near = variants.near_words(words)
+    assert "BroadcastHashJoin" not in near._jdf.queryExecution().executedPlan().toString()
+    assert near.count() == 1900
+
+
 # ---------------------------------------------------------------- runs
 def runs_by_hand(words, exponent=4, least=6):
     n, found = len(words), {}
