@@ -100,3 +100,23 @@ def test_texts_go_to_python_in_small_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
     rows = spark.createDataFrame([("Ünï ﬁ½",), (None,), ("",), ("日本",)], "t string").select(fold_ascii("t")).collect()
     assert [r[0] for r in rows] == ["Uni fi12", None, "", ""]
+
+
+def test_near_streets_are_met_on_one_cell(spark):
+    """A bounded search sends a node to one cell, not to nine of a level; ties go to the lower line."""
+    nodes = spark.createDataFrame([(0, k, 10.0 * k, 0.0) for k in range(40)] + [(0, 99, 5000.0, 5000.0), (1, 7, 0.0, 0.0)], "place_id long, node_id long, nx double, ny double")
+    lines = [(0, k, 0, 100.0 * k - 30.0, 2.0, 100.0 * k + 30.0, 2.0, 8.0) for k in range(4)] + [(0, 50, 0, -30.0, -2.0, 30.0, -2.0, 9.0)]
+    segments = spark.createDataFrame(lines, "place_id long, line_id long, seq long, x1 double, y1 double, x2 double, y2 double, width double")
+    args = nodes, segments, ["place_id", "node_id"], ["line_id", "seq"]
+    got = joins.nearest_within(*args, 5.0, 100.0, x="nx", y="ny")
+    whole = joins.nearest_join(*args, 20.0, x="nx", y="ny", max_distance=5.0)
+    assert got.columns == whole.columns and sorted(got.collect()) == sorted(whole.collect())
+    assert {r.node_id: r.line_id for r in got.collect()}[0] == 0 and got.count() == 25
+    cars = spark.createDataFrame([(0, 1, 0.0, 0.0, 0.0)], "place_id long, car_id long, x double, y double, heading double")
+    seen, real = [], joins.knn_candidates
+    joins.knn_candidates = lambda *a, **b: seen.append(a) or real(*a, **b)
+    try:
+        best = joins.recovery_candidates(cars, nodes, segments, footprints(spark, [(0, 9, box(105.0, -5.0, 135.0, 5.0))], "b_id").withColumn("place_id", F.col("place_id").cast("long")), 100.0, 50.0, 150.0, 5.0, 8.0, 3.0, fine=20.0).collect()
+    finally:
+        joins.knn_candidates = real
+    assert [(r.car_id, r.node_id) for r in best] == [(1, 7)] and not seen
