@@ -1,4 +1,6 @@
 """Small tables that become many rows are dealt over tasks; long expressions are evaluated once."""
+import math
+
 from pyspark.sql import functions as F
 
 from placeloom.operators import audit, geometry as geo, joins, raster as ras, select as sel
@@ -120,3 +122,29 @@ def test_near_streets_are_met_on_one_cell(spark):
     finally:
         joins.knn_candidates = real
     assert [(r.car_id, r.node_id) for r in best] == [(1, 7)] and not seen
+
+
+def test_samples_of_a_corridor_are_not_rows(spark, monkeypatch):
+    """Links of one to 90 samples over two adjoining fields with a gap behind them, past an obstacle: against the test of each sample."""
+    fields = [(0, 1, box(0.0, 0.0, 500.0, 400.0)), (0, 2, box(500.0, 0.0, 900.0, 400.0)), (1, 3, box(0.0, 0.0, 100.0, 100.0))]
+    wall = (300.0, 190.0, 320.0, 210.0)
+    ends = [(0, k, 5.0 + 17 * k, 3.0 + 11 * (k % 30), 890.0 - 13 * k, 395.0 - 9 * (k % 40)) for k in range(40)]
+    ends += [(0, 40, 10.0, 10.0, 899.0, 10.0), (0, 41, 10.0, 10.0, 915.0, 10.0), (0, 42, 7.0, 7.0, 7.0, 7.0), (0, 43, 10.0, 210.5, 890.0, 210.5), (1, 44, 10.0, 10.0, 90.0, 90.0), (2, 45, 1.0, 1.0, 2.0, 2.0), (0, 46, 10.0, 20.0, 330.0, 20.0)]
+    links = spark.createDataFrame(ends, "place_id int, link_id int, x1 double, y1 double, x2 double, y2 double")
+    rows, real = [], joins.binned_join
+    monkeypatch.setattr(joins, "binned_join", lambda left, *a, **b: rows.append(left) or real(left, *a, **b))
+    out = joins.corridor_clear(links, footprints(spark, [(0, 9, box(*wall))], "b_id"), footprints(spark, fields, "a_id"), 10.0, 4.0, 60.0)
+    assert out.columns == links.columns
+
+    def clear(place, x1, y1, x2, y2):
+        n = max(1, math.ceil(math.hypot(x2 - x1, y2 - y1) / 10.0))
+        for k in range(n + 1):
+            x, y = x1 + (x2 - x1) * k / n, y1 + (y2 - y1) * k / n
+            on = any(p == place and r[0][0][0] <= x < r[0][2][0] and r[0][0][1] <= y < r[0][2][1] for p, _, r in fields)
+            gap = math.hypot(max(wall[0] - x, 0, x - wall[2]), max(wall[1] - y, 0, y - wall[3]))
+            if not on or place == 0 and gap <= 4.0:
+                return False
+        return True
+    want = [k for p, k, *e in ends if clear(p, *e)]
+    assert sorted(r.link_id for r in out.collect()) == want and {40, 42, 44, 46} <= set(want) and not {41, 43, 45} & set(want)
+    assert rows and all(r.count() <= 3 * len(ends) for r in rows)
