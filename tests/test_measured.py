@@ -70,6 +70,23 @@ def test_replay_in_lists_of_samples(spark, monkeypatch):
                 assert got[(*key, n)] == state
 
 
+def test_what_fits_is_found_once_for_buildings_alike(spark, monkeypatch):
+    """Lists of two assets, blocks of 30 buildings: NULL materials, levels that match nothing, a level named twice, ids that are NULL or repeated, equal buildings."""
+    monkeypatch.setattr(resolve, "PAGE", 2)
+    monkeypatch.setattr(resolve, "SHARE", 30)
+    rows = [(k % 190, k % 4 if k % 7 else None, ("house", "church")[k % 2], (None, "brick", "wood")[k % 3], "flat", ("A", "B", None)[k % 3 if k % 5 else 0]) for k in range(200)]
+    offers = [(k if k % 9 else None, "approved" if k % 4 else "draft", "x" if k % 11 else None, ["A", "B", "A"][:1 + k % 3], ["brick"] if k % 3 == 0 else [], [], ["house"] if k % 2 else [], k % 3, 3) for k in [*range(30), 7, 7]]
+    buildings = spark.createDataFrame(rows, "b_id long, levels long, kind string, material string, roof_shape string, lod string")
+    assets = spark.createDataFrame(offers, "asset_id long, status string, evidence string, lods array<string>, materials array<string>, roof_shapes array<string>, kinds array<string>, min_levels long, max_levels long")
+    out = resolve.asset_match(buildings, assets)
+    want = [(b[0], b[1], a[0]) for b in rows for a in offers if a[1] == "approved" and a[2] for lod in a[3] if lod == b[5] and b[1] is not None and a[7] <= b[1] <= a[8]
+            if (not a[4] or b[3] in a[4]) and (not a[6] or b[2] in a[6])]
+    low = lambda rs: sorted(tuple(-1 if v is None else v for v in r) for r in rs)
+    assert low((r.b_id, r.levels, r.asset_id) for r in out.collect()) == low(want)
+    # Buildings meet lists; pairs are made after the last shuffle.
+    assert "Generate inline" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_buildings_of_one_level_are_spread(spark):
     buildings = spark.createDataFrame([(k, k % 5, "house", "brick", "flat", "C") for k in range(200)], "b_id long, levels long, kind string, material string, roof_shape string, lod string")
     assets = spark.createDataFrame([(1, "approved", "x", ["C", "A"], [], [], [], 1, 2), (2, "approved", "x", ["C"], ["wood"], [], [], 0, 9), (3, "draft", "x", ["C"], [], [], [], 0, 9), (4, "approved", "x", ["B"], [], [], [], 0, 9)],
