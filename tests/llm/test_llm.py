@@ -3,6 +3,7 @@ import hashlib
 import math
 import re
 import string
+import uuid
 import zlib
 from collections import Counter
 
@@ -298,6 +299,17 @@ def test_lines_recall_by_length(spark, words, every, least):
     assert len(pairs) > 250 and found >= min(least, len(pairs) - (300 - least))
 
 
+def test_tables_of_lines_go_when_no_step_reads_them(spark, tmp_path, monkeypatch):
+    """Of the tables between steps those stay that the result reads; the lines that stay have their place and hash only."""
+    monkeypatch.setattr(store, "new_path", lambda session, name: f"{tmp_path}/{uuid.uuid4().hex}/{name}")
+    rows = [(k, "\n".join(f"line {j} of some words that are like others, {'abc'[k % 3]} {j * j}" for j in range(6))) for k in range(9)]
+    gone = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {p.name for p in tmp_path.glob("*/*")}
+    assert "lines" in left and not left & {"made_lines", "near_lines", "shared_keys", "tried", "mixed_keys", "rest"}
+    assert spark.read.parquet(*[str(p) for p in tmp_path.glob("*/lines")]).columns == ["_row", "doc_id", "line_no", "h1", "h2"]
+    assert gone.count() == 9
+
+
 def test_short_lines_are_compared_with_all(spark):
     """All pairs by edit similarity alone, in blocks of a few lines; the length bound is met on both sides."""
     rng, rows = np.random.default_rng(8), []
